@@ -3,14 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from headway.llm import chat_format, url_filter
+from headway.llm import bpe, chat_format, simhash, url_filter
 from headway.llm.common import read_table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def tokenizer_spec(path: str | None = None) -> str:
+    """The text of a vocabulary file on the driver; by default the public one for words."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(bpe.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_spec()))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, action string")
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), rules)
@@ -23,7 +40,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_conversations(rows))
 
 
-QUERIES = {"op8_url_filter": op8_url_filter, "op9_chat_format": op9_chat_format}
+QUERIES = {"op2_simhash": op2_simhash, "op4_bpe": op4_bpe, "op8_url_filter": op8_url_filter, "op9_chat_format": op9_chat_format}
 
 OP8_SQL = r"""
 WITH split AS (
