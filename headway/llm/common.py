@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +43,16 @@ def slices(texts, limit: int):
         size += n
     if i < len(texts):
         yield i, len(texts)
+
+
+class TextSizes:
+    """Stands for the texts of a column where only their sizes in bytes matter."""
+
+    def __init__(self, column: pa.Array):
+        self.sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0))
+
+    def __len__(self):
+        return len(self.sizes)
+
+    def __iter__(self):
+        return (range(int(n)) for n in self.sizes)

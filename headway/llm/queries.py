@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from headway.llm import bpe, chat_format, simhash, url_filter
+from headway.llm import bpe, chat_format, decontam, langid, simhash, toxicity, url_filter
 from headway.llm.common import read_table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("runs").alias("n_runs"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +34,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_spec()))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, action string")
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), rules)
@@ -40,7 +50,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_conversations(rows))
 
 
-QUERIES = {"op2_simhash": op2_simhash, "op4_bpe": op4_bpe, "op8_url_filter": op8_url_filter, "op9_chat_format": op9_chat_format}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"op1_langid": op1_langid, "op2_simhash": op2_simhash, "op4_bpe": op4_bpe, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_chat_format": op9_chat_format, "op10_decontamination": op10_decontamination}
 
 OP8_SQL = r"""
 WITH split AS (

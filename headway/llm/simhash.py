@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import checkpointed, slices
+from headway.llm.common import TextSizes, checkpointed, slices
 from headway.llm.components import connected_components
 
 CHUNK = 2048
@@ -53,26 +53,13 @@ def fingerprints(documents: DataFrame, k: int = 3) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
-            for i, j in slices(_Sizes(texts), 4_000_000):
+            for i, j in slices(TextSizes(texts), 4_000_000):
                 found = np.array([fingerprint(t.as_py() or b"", k) for t in texts.slice(i, j - i)], dtype="<u8")
                 yield pa.record_batch([ids.slice(i, j - i), pa.array(found.view("<i8"))], names=["doc_id", "fp"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-class _Sizes:
-    """Stands for the texts of a column where only their sizes matter."""
-
-    def __init__(self, column: pa.Array):
-        self.sizes = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1])
-
-    def __len__(self):
-        return len(self.sizes)
-
-    def __iter__(self):
-        return (range(int(n)) for n in self.sizes)
-
-
 def _forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Links of each node to the least node of its component, for nodes below n."""
     label = np.arange(n)
