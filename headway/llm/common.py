@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -56,3 +57,24 @@ class TextSizes:
 
     def __iter__(self):
         return (range(int(n)) for n in self.sizes)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one that the session names for checkpoints (one of its own only where none is set)."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return f"{top.rstrip('/')}/headway-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut lineage with a table in the shared folder: smaller than a checkpoint where rows are many and narrow."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete what written() wrote, when nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, chat_format, decontam, langid, simhash, toxicity, url_filter
+from headway.llm import bpe, chat_format, decontam, langid, simhash, substring, toxicity, url_filter
 from headway.llm.common import read_table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -20,6 +20,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(read_table(spark, sf_dir, "documents"), digest=True)
+
+
 def tokenizer_spec(path: str | None = None) -> str:
     """The text of a vocabulary file on the driver; by default the public one for words."""
     if path is None:
@@ -54,7 +58,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op1_langid": op1_langid, "op2_simhash": op2_simhash, "op4_bpe": op4_bpe, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_chat_format": op9_chat_format, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_langid": op1_langid, "op2_simhash": op2_simhash, "op3_substring": op3_substring, "op4_bpe": op4_bpe, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_chat_format": op9_chat_format, "op10_decontamination": op10_decontamination}
 
 OP8_SQL = r"""
 WITH split AS (
