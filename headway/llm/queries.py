@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, chat_format, decontam, langid, shard, simhash, substring, toxicity, url_filter
+from headway.llm import bpe, chat_format, decontam, imatch, langid, shard, simhash, substring, toxicity, url_filter
 from headway.llm.common import read_table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -38,6 +38,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_spec()))
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -62,7 +66,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op1_langid": op1_langid, "op2_simhash": op2_simhash, "op3_substring": op3_substring, "op4_bpe": op4_bpe, "op6_sharding": op6_sharding, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_chat_format": op9_chat_format, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_langid": op1_langid, "op2_simhash": op2_simhash, "op3_substring": op3_substring, "op4_bpe": op4_bpe, "op5_imatch": op5_imatch, "op6_sharding": op6_sharding, "op7_toxicity": op7_toxicity, "op8_url_filter": op8_url_filter, "op9_chat_format": op9_chat_format, "op10_decontamination": op10_decontamination}
 
 OP8_SQL = r"""
 WITH split AS (
