@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import held_out, slices
-from headway.llm.words import WordTable, labelled_sample
+from headway.llm.words import WordTable, collected, labelled_sample
 
 BITS = 16
 BUCKETS = 1 << BITS
@@ -221,7 +221,7 @@ def label_texts(model: Model, table: WordTable, texts: list[str | None]) -> list
 
 def identify(documents: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
     """doc_id, held_out, lang_pred, score, runs: learned from the rows' lang where it isn't held out, predicted from text alone."""
-    model = train(labelled_sample(documents.select("doc_id", "text", "lang"), "lang", per_label)[0])
+    model = train(collected(labelled_sample(documents.select("doc_id", "text", "lang"), "lang", per_label)[0], "lang"))
     kind = dict(documents.dtypes)["doc_id"]
     rows = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     runs = "array<struct<first_word: int, words: int, lang: string>>"

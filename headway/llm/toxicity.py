@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import held_out, slices
-from headway.llm.words import WordTable, labelled_sample
+from headway.llm.words import WordTable, collected, labelled_sample
 
 PER_LABEL = 4000
 FOLDS = 4
@@ -199,7 +199,7 @@ def train(sample: list[tuple[str, int]], counts: dict) -> Model:
     labels = np.array([int(y) for _, y in sample])
     total = sum(counts.values())
     share = sum(n for y, n in counts.items() if y == 1) / total if total else 0.0
-    if len(set(labels.tolist())) < 2:
+    if len(set(labels.tolist())) < 2:  # labels without texts count too
         return Model(Lexicon(), None, (), share)
     kept = {y: int((labels == y).sum()) for y in (0, 1)}
     w = np.array([counts[y] / kept[y] for y in labels.tolist()])
@@ -235,19 +235,44 @@ def train(sample: list[tuple[str, int]], counts: dict) -> Model:
     return Model(lexicon_without(-1), fit_trees(x, y, w), isotonic(raw, y, w), share)
 
 
-def score(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
-    """doc_id, held_out, score, predicted: learned from labels.toxic of documents that aren't held out."""
+def learn(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
+    """From labels.toxic of documents that aren't held out."""
     known = labels.filter("toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    model = train(*labelled_sample(documents.select("doc_id", "text").join(known, "doc_id"), "toxic", per_label))
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # grows with the bounded sample only
+    chosen, counts = labelled_sample(known, "toxic", per_label)
+    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # a bounded sample: texts don't move for it
+    return train(collected(sample, "toxic"), counts)
+
+
+def _scored(model: Model, table: WordTable, batch: pa.RecordBatch, text: int):
+    """(slice of the batch, scores) for all of a batch."""
+    texts = batch.column(text).to_pylist()
+    for i, j in slices(texts, 500_000):
+        yield batch.slice(i, j - i), model.scores(features(table, texts[i:j]))
+
+
+def score(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
+    """doc_id, held_out, score, predicted: a row for each row of documents."""
+    shared = documents.sparkSession.sparkContext.broadcast(learn(documents, labels, per_label))  # grows with the bounded sample only
 
     def run(batches):
         table = WordTable(shared.value.lexicon.rows)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for i, j in slices(texts, 500_000):
-                s = shared.value.scores(features(table, texts[i:j]))
-                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            for part, s in _scored(shared.value, table, batch, 2):
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     rows = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(run, f"doc_id {dict(documents.dtypes)['doc_id']}, held_out boolean, score double, predicted int")
+
+
+def keep_clean(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
+    """The rows of documents that aren't predicted toxic, with all their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(learn(documents, labels, per_label))
+    text = documents.columns.index("text")
+
+    def run(batches):
+        table = WordTable(shared.value.lexicon.rows)
+        for batch in batches:
+            for part, s in _scored(shared.value, table, batch, text):
+                yield part.filter(pa.array(s < 0.5))
+
+    return documents.mapInArrow(run, documents.schema)

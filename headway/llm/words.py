@@ -42,17 +42,20 @@ def fraction(doc_id: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(doc_id.cast("string"), F.lit("sample")), 11) / float(1 << 53)
 
 
-def labelled_sample(rows: DataFrame, label: str, per_label: int) -> tuple[list[tuple[str, object]], dict]:
-    """(text, label) of about per_label rows of each label, never more than 1.5 times as many in all; rows of each label.
+def labelled_sample(rows: DataFrame, label: str, per_label: int) -> tuple[DataFrame, dict]:
+    """About per_label rows of each label, never more than 1.5 times as many in all; and how many rows each label has.
 
-    From rows with doc_id, text and a label that isn't null, without those held out. Which rows depends on their ids alone.
+    From rows with doc_id and a label that isn't null, without those held out. Which rows depends on their ids alone.
     """
-    usable = rows.filter(F.col(label).isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").isNotNull())
+    usable = rows.filter(F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r[0]: r[1] for r in usable.groupBy(label).count().orderBy(F.desc("count"), label).limit(256).collect()}
-    if not counts:
-        return [], {}
     chosen = F.lit(False)
     for value, n in counts.items():
         chosen = chosen | ((F.col(label) == F.lit(value)) & (fraction(F.col("doc_id")) < 1.2 * per_label / n))
-    sample = usable.filter(chosen).select("doc_id", "text", label).limit(int(1.5 * per_label * len(counts)))
-    return [(r[1], r[2]) for r in sorted(sample.collect(), key=lambda r: (r[0], r[1]))], counts
+    return usable.filter(chosen).limit(int(1.5 * per_label * max(1, len(counts)))), counts
+
+
+def collected(sample: DataFrame, label: str) -> list[tuple[str, object]]:
+    """The (text, label) rows of a bounded sample, in an order that doesn't depend on how it was computed."""
+    rows = sample.filter("text is not null").select("doc_id", "text", label).collect()
+    return [(r[1], r[2]) for r in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))]
