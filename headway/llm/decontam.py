@@ -131,18 +131,23 @@ class Benchmark:
 TILES = "array<struct<item_word: int, doc_word: int, words: int>>"
 
 
-def overlaps(documents: DataFrame, benchmark: DataFrame, m: int = MIN_MATCH, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, item_id, item_words, matched, coverage, tiles of all documents and items that share a tile."""
+def _blocks(benchmark: DataFrame, block_chars: int):
+    """The items, broadcast in blocks of bounded size."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-2 * chars // block_chars) if chars > block_chars else 1
+    for b in range(blocks):
+        mine = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        yield benchmark.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in mine.collect()])
+
+
+def overlaps(documents: DataFrame, benchmark: DataFrame, m: int = MIN_MATCH, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, item_id, item_words, matched, coverage, tiles of all documents and items that share a tile."""
     kind = dict(documents.dtypes)["doc_id"]
     schema = f"doc_id {kind}, item_id long, item_words int, matched int, coverage double, tiles {TILES}"
     arrow = pa.list_(pa.struct([("item_word", pa.int32()), ("doc_word", pa.int32()), ("words", pa.int32())]))
     out = None
-    for b in range(blocks):
-        mine = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        shared = documents.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in mine.collect()])
+    for shared in _blocks(benchmark, block_chars):
 
         def run(batches, shared=shared):
             known = Benchmark(shared.value, m)
@@ -165,3 +170,21 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, m: int = MIN_MATCH, blo
 def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The overlaps that cover at least the threshold of an item."""
     return overlaps(documents, benchmark).filter(F.col("coverage") >= threshold)
+
+
+def keep_clean(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, m: int = MIN_MATCH, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of documents that cover the threshold of no item, with all their columns."""
+    at = documents.columns.index("text")
+    kept = documents
+    for shared in _blocks(benchmark, block_chars):
+
+        def run(batches, shared=shared):
+            known = Benchmark(shared.value, m)
+            clean = lambda text: all(matched < threshold * n for _, n, matched, _ in known.matches(text))
+            for batch in batches:
+                for i, j in slices(TextSizes(batch.column(at)), 2_000_000):
+                    part = batch.slice(i, j - i)
+                    yield part.filter(pa.array([clean(t) for t in part.column(at).to_pylist()], pa.bool_()))
+
+        kept = kept.mapInArrow(run, documents.schema)
+    return kept

@@ -17,7 +17,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import TextSizes, checkpointed, slices
@@ -147,3 +147,15 @@ def near_duplicates(documents: DataFrame, radius: int = 2, k: int = 3, chunk: in
     joined = connected_components(link(distinct, radius, chunk))
     groups = distinct.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return marked.join(groups, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(documents: DataFrame, radius: int = 2, k: int = 3, chunk: int = CHUNK) -> DataFrame:
+    """One document of each group of near-duplicates, that of the least doc_id, with all its columns.
+
+    Rows that repeat an id are one document. Where no document of a group has an id, its rows stay.
+    """
+    groups = near_duplicates(documents, radius, k, chunk)
+    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    kept = documents.join(first, documents["doc_id"].eqNullSafe(first["_id"]), "left_semi")
+    row = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return kept.withColumn("_row", row).filter("_row = 1 or doc_id is null").drop("_row")

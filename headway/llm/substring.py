@@ -221,8 +221,8 @@ def _hot_windows(candidates: DataFrame, window: int, gram: int) -> DataFrame:
     return windows.join(nodes, "node").select("h1", "h2", "pos", F.lit(1).cast("long").alias("mask"))
 
 
-def _cut(marked: DataFrame, window: int) -> DataFrame:
-    """(h1, h2, text, copies, found) -> h1, h2, n_words, n_removed, kept."""
+def _cut(marked: DataFrame, window: int, verbatim: bool) -> DataFrame:
+    """(h1, h2, text, copies, found) -> h1, h2, n_words, n_removed, kept; verbatim: texts that keep all words as they were."""
 
     def run(batches):
         for batch in batches:
@@ -240,7 +240,8 @@ def _cut(marked: DataFrame, window: int) -> DataFrame:
                         np.add.at(gone, f["pos"] - o, 1)
                         np.add.at(gone, f["pos"] - o + window, -1)
                     kept = np.flatnonzero(np.cumsum(gone)[:n] == 0)
-                    text = b" ".join(words if len(kept) == n else [words[k] for k in kept.tolist()])
+                    whole = len(kept) == n
+                    text = raw[r].as_py() if whole and verbatim else b" ".join(words if whole else [words[k] for k in kept.tolist()])
                     for column, v in zip(rows, (n, n - len(kept), text)):
                         column.append(v)
                 kept_texts = pa.array(rows[2], pa.binary()).cast(pa.string())
@@ -249,13 +250,10 @@ def _cut(marked: DataFrame, window: int) -> DataFrame:
     return marked.mapInArrow(run, "h1 long, h2 long, n_words long, n_removed long, kept string")
 
 
-def remove_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, digest: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed and kept (the words outside repeated windows, joined by a space), or its SHA-256 if digest.
-
-    With digest no text moves but in the one exchange of texts.
-    """
-    keyed = _keyed(documents)
-    found = written(anchors(keyed.select("h1", "h2", "text"), window, gram))
+def _cleaned(keyed: DataFrame, window: int, gram: int, hot: int, verbatim: bool = False) -> DataFrame:
+    """h1, h2, n_words, n_removed, kept of each different text."""
+    keyed = keyed.select("h1", "h2", "text")
+    found = written(anchors(keyed, window, gram))
     grams = found.groupBy("gram").count().filter("count > 1").select("gram", (F.col("count") > hot).alias("hot"))
     candidates = written(found.join(grams, "gram"))
     forget(found)
@@ -270,7 +268,29 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM,
         masks = masks.unionByName(_hot_windows(with_text(True), window, gram))
     marks = masks.groupBy("h1", "h2").agg(F.collect_list(F.struct("pos", "mask")).alias("found"))
     marked = texts.join(marks, ["h1", "h2"], "left").select("h1", "h2", "text", "copies", "found")
-    done = _cut(marked, window)
+    return _cut(marked, window, verbatim)
+
+
+def remove_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, digest: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed and kept (the words outside repeated windows, joined by a space), or its SHA-256 if digest.
+
+    With digest no text moves but in the one exchange of texts.
+    """
+    keyed = _keyed(documents)
+    done = _cleaned(keyed, window, gram, hot)
     if digest:
         done = done.select("h1", "h2", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
     return keyed.select("doc_id", "h1", "h2").join(done, ["h1", "h2"]).drop("h1", "h2")
+
+
+def clean(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """documents without repeated windows: same columns, n_chars anew where the text changed.
+
+    Texts that keep all words stay as they are, null ones too; documents of which no word is left go.
+    """
+    text = F.coalesce("text", F.lit(""))
+    rest = documents.select(*[c for c in documents.columns if c != "text"], F.col("text").isNull().alias("_null"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+    done = _cleaned(_keyed(documents), window, gram, hot, verbatim=True)
+    kept = rest.join(done, ["h1", "h2"]).filter("n_removed < n_words or n_removed = 0")
+    new = {"text": F.when(~F.col("_null"), F.col("kept")), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))}
+    return kept.select(*[new.get(c, F.col(c)).alias(c) for c in documents.columns])
