@@ -1,6 +1,11 @@
-"""Name -> query and name -> DuckDB SQL."""
+"""Name -> query and name -> DuckDB SQL, gathered from the modules of queries."""
 
 from __future__ import annotations
 
+from headway.plans import queries_core, queries_joins, queries_more
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for _module in (queries_core, queries_joins, queries_more):
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES
