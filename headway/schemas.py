@@ -8,14 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ENRICHED = T.StructType.fromDDL(
+_TYPES = {"string": T.StringType(), "timestamp": T.TimestampType(), "double": T.DoubleType(), "int": T.IntegerType(), "bigint": T.LongType(), "binary": T.BinaryType()}
+
+
+def _declared(columns: str) -> T.StructType:
+    """name type, ... without a session."""
+    return T.StructType([T.StructField(n, _TYPES[k]) for n, k in (c.split() for c in columns.split(", "))])
+
+
+ENRICHED = _declared(
     "vehicle_id string, position_timestamp timestamp, latitude double, longitude double, trip_id string, route_id string, direction_id int, start_date string, current_status string, occupancy_status string, stop_id string, "
     "current_stop_sequence int, bearing double, speed double, route_short_name string, route_long_name string, route_type int, trip_headsign string, block_id string, shape_id string, service_id string, static_feed_version bigint, "
     "feed_etag string, enriched_at timestamp, gtfs_feed_version string, shape_dist_traveled double, schedule_deviation_seconds int, neighborhood_name string, neighborhood_num int"
 )
-ALERT = T.StructType.fromDDL("route_id string, direction_id int, route_short_name string, vehicle_id_a string, vehicle_id_b string, trip_id_a string, trip_id_b string, gap_ft double, window_end bigint, deviation_a int, deviation_b int")
-ACCURACY = T.StructType.fromDDL("lead_time_s double, error_s double, abs_error_s double, lead_bucket string, trip_id string, stop_id string, route_id string, route_short_name string, start_date string, issued_at bigint, predicted_arrival bigint, observed_at bigint")
-DLQ = T.StructType.fromDDL("source_topic string, reason string, detail string, entity_key string, payload binary, occurred_at timestamp")
+ALERT = _declared("route_id string, direction_id int, route_short_name string, vehicle_id_a string, vehicle_id_b string, trip_id_a string, trip_id_b string, gap_ft double, window_end bigint, deviation_a int, deviation_b int")
+ACCURACY = _declared("lead_time_s double, error_s double, abs_error_s double, lead_bucket string, trip_id string, stop_id string, route_id string, route_short_name string, start_date string, issued_at bigint, predicted_arrival bigint, observed_at bigint")
+DLQ = _declared("source_topic string, reason string, detail string, entity_key string, payload binary, occurred_at timestamp")
 #: Reasons of the dead letter queue.
 REASONS = ("malformed_payload", "missing_required_field", "position_out_of_bounds", "unknown_trip_id", "implausible_timestamp", "implausible_deviation")
 
