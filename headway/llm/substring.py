@@ -94,8 +94,8 @@ def repeated_windows(left: np.ndarray, right: np.ndarray, window: int, gram: int
     before = np.zeros(n, np.int64)
     for o in range(reach + 1):
         if o:
-            _, before = np.unique(np.stack([before, left[rows, o - 1]]), axis=1, return_inverse=True)
-            before = before.reshape(-1)
+            word = left[rows, o - 1].astype(np.int64)
+            _, before = np.unique(before * (word.max() - word.min() + 1) + word - word.min(), return_inverse=True)
         node = np.r_[0, np.cumsum(common < window - o)][rows]
         key = node * (len(rows) + 1) + before
         _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
@@ -127,6 +127,19 @@ def _ids(lefts: list[bytes], rights: list[bytes], window: int, gram: int) -> tup
     return out[0], out[1]
 
 
+def subtree_masks(before: list[bytes], after: list[bytes], window: int, gram: int) -> np.ndarray:
+    """The masks of suffixes from the texts on both sides; equal contexts enter the tree once."""
+    index: dict = {}
+    of = np.array([index.setdefault(c, len(index)) for c in zip(before, after)], np.int64)
+    left, right = _ids([b for b, _ in index], [a for _, a in index], window, gram)
+    mask = repeated_windows(left, right, window, gram)
+    several = np.bincount(of, minlength=len(index)) > 1  # then all windows inside the context are repeated
+    words = (right >= 0).sum(axis=1)
+    first, last = np.maximum(0, window - words), (left >= 0).sum(axis=1)
+    inside = np.where(last >= first, (1 << (last + 1)) - (1 << first), 0)
+    return np.where(several, mask | inside, mask)[of]
+
+
 def _keyed(documents: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return documents.select("doc_id", F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
@@ -191,8 +204,7 @@ def _subtrees(contexts: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches):
         for table in lots(batches):
-            left, right = _ids(table.column("before").to_pylist(), table.column("after").to_pylist(), window, gram)
-            mask = repeated_windows(left, right, window, gram)
+            mask = subtree_masks(table.column("before").to_pylist(), table.column("after").to_pylist(), window, gram)
             hit = pa.array(np.flatnonzero(mask))
             out = table.select(["h1", "h2", "pos"]).take(hit).append_column("mask", pa.array(mask[mask != 0]))
             yield from out.combine_chunks().to_batches()
