@@ -46,8 +46,7 @@ def bloom_filter(keys: DataFrame, bits_per_key: int = 16, max_bits: int = 1 << 2
     """
     n = keys.agg(F.greatest(F.lit(1), F.least(F.lit(max_bits // (64 * WORDS)), F.ceil(F.count("key") * bits_per_key / (64 * WORDS)))).cast("long").alias("blocks"))
     h = F.xxhash64("key")
-    # n has one row
-    hashed = keys.join(F.broadcast(n), F.lit(True)).select("blocks", _block(h, F.col("blocks")).alias("block"), h.alias("h"))
+    hashed = keys.select(_block(h, n.scalar()).alias("block"), h.alias("h"))
     one = F.lit(1).cast("long")
     words = hashed.groupBy("block").agg(*[F.bit_or(F.call_function("shiftleft", one, _bit(F.col("h"), w))).alias(f"w{w}") for w in range(WORDS)])
     every = n.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).join(words, "block", "left")
