@@ -51,9 +51,8 @@ def feed_health(positions: DataFrame, since: Column | None = None) -> DataFrame:
 
 def stall_report(health: DataFrame, config: Warehouse = Warehouse()) -> DataFrame:
     """One row always: the longest silent run that ended in the mart's last minutes, and whether it alerts."""
-    newest = health.agg(F.max("minute").alias("newest"))
-    recent = health.join(F.broadcast(newest)).filter(F.col("minute") > F.col("newest") - F.expr(f"INTERVAL {config.stall_window_min} MINUTES"))
-    # newest has one row
+    newest = health.agg(F.max("minute")).scalar()
+    recent = health.filter(F.col("minute") > newest - F.expr(f"INTERVAL {config.stall_window_min} MINUTES"))
     island = F.row_number().over(Window.orderBy("minute")) - F.row_number().over(Window.partitionBy("is_silent").orderBy("minute"))
     runs = recent.withColumn("_i", island).filter("is_silent").groupBy("_i").agg(F.min("minute").alias("start"), F.max("minute").alias("end"), F.count("*").alias("minutes"))
     worst = runs.agg(F.max(F.struct("minutes", "start", "end")).alias("w"))

@@ -247,10 +247,12 @@ def health_by_day(spark, sf_dir):
 (SELECT round(100.0 * count(*) FILTER (NOT is_silent) / count(*), 1) FROM health) AS live_pct""",
 )
 def kpis(spark, sf_dir):
-    p = roles.positions(spark, sf_dir).agg(F.count("*").alias("positions"))
-    a = roles.alerts(spark, sf_dir).agg(F.count("*").alias("alerts"), F.countDistinct("local_date").alias("days"))
-    h = health(spark, sf_dir).agg(F.round(100.0 * F.count_if(~F.col("is_silent")) / F.count("*"), 1).alias("live_pct"))
-    return p.join(F.broadcast(a)).join(F.broadcast(h))  # three tables of one row
+    alerts, shown = roles.alerts(spark, sf_dir), health(spark, sf_dir)
+    one = lambda df, value: df.agg(value).scalar()
+    return spark.range(1).select(
+        one(roles.positions(spark, sf_dir), F.count("*")).alias("positions"), one(alerts, F.count("*")).alias("alerts"), one(alerts, F.countDistinct("local_date")).alias("days"),
+        one(shown, F.round(100.0 * F.count_if(~F.col("is_silent")) / F.count("*"), 1)).alias("live_pct"),
+    )
 
 
 @query("alert_counts", f"WITH {roles.ALERTS_SQL} SELECT route_id, count(*) AS alerts, round(avg(CASE WHEN local_hour BETWEEN 16 AND 18 THEN 1.0 ELSE 0.0 END), 4) AS peak_share FROM alerts GROUP BY route_id")
