@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from headway.llm.common import held_out, slices
 from headway.llm.words import WordTable, collected, labelled_sample
 
-PER_LABEL = 4000
+PER_LABEL = 2500
 FOLDS = 4
 WINDOW = 50
 NEAR = 3
