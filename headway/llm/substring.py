@@ -161,9 +161,12 @@ def anchors(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
 
 
 def _contexts(candidates: DataFrame, window: int, gram: int) -> DataFrame:
-    """(h1, h2, text, found) -> the words around each anchor."""
+    """(h1, h2, text, found) -> the words around each anchor, and a hash of its first ones to part them by."""
 
     def run(batches):
+        import xxhash
+
+        h = xxhash.xxh64_digest
         for batch in batches:
             raw, found = batch.column(2).cast(pa.binary()), batch.column(3)
             for i, j in slices(TextSizes(raw), 200_000):
@@ -171,9 +174,9 @@ def _contexts(candidates: DataFrame, window: int, gram: int) -> DataFrame:
                 for r in range(i, j):
                     words = raw[r].as_py().split()
                     h1, h2 = batch.column(0)[r].as_py(), batch.column(1)[r].as_py()
-                    for f in found[r].as_py():
-                        p = f["pos"]
-                        row = (h1, h2, p, f["gram"], b" ".join(words[max(0, p - window + gram) : p]), b" ".join(words[p : p + window]))
+                    for p in found[r].as_py():
+                        prefix = int.from_bytes(h(b" ".join(words[p : p + gram])), "big", signed=True)
+                        row = (h1, h2, p, prefix, b" ".join(words[max(0, p - window + gram) : p]), b" ".join(words[p : p + window]))
                         for column, v in zip(rows, row):
                             column.append(v)
                 types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
@@ -223,7 +226,7 @@ def _hot_windows(candidates: DataFrame, window: int, gram: int) -> DataFrame:
             raw, found = batch.column(2).cast(pa.binary()), batch.column(3)
             for r in range(batch.num_rows):
                 words = raw[r].as_py().split()
-                starts = sorted({s for f in found[r].as_py() for s in range(max(0, f["pos"] - window + gram), min(f["pos"], len(words) - window) + 1)})
+                starts = sorted({s for p in found[r].as_py() for s in range(max(0, p - window + gram), min(p, len(words) - window) + 1)})
                 digests = [xxhash.xxh3_128_digest(b" ".join(words[s : s + window])) for s in starts]
                 h1, h2 = batch.column(0)[r].as_py(), batch.column(1)[r].as_py()
                 yield pa.record_batch([pa.array([h1] * len(starts), pa.int64()), pa.array([h2] * len(starts), pa.int64()), pa.array(starts, pa.int32()), pa.array(digests, pa.binary())], names=["h1", "h2", "pos", "node"])
@@ -267,12 +270,12 @@ def _cleaned(keyed: DataFrame, window: int, gram: int, hot: int, verbatim: bool
     keyed = keyed.select("h1", "h2", "text")
     found = written(anchors(keyed, window, gram))
     grams = found.groupBy("gram").count().filter("count > 1").select("gram", (F.col("count") > hot).alias("hot"))
-    candidates = written(found.join(grams, "gram"))
+    candidates = written(found.join(grams, "gram").drop("gram"))
     forget(found)
     texts = keyed.groupBy("h1", "h2").agg(F.any_value("text").alias("text"), F.count("*").alias("copies"))
 
     def with_text(hot: bool) -> DataFrame:
-        mine = candidates.filter(F.col("hot") == hot).groupBy("h1", "h2").agg(F.collect_set(F.struct("pos", "gram")).alias("found"))
+        mine = candidates.filter(F.col("hot") == hot).groupBy("h1", "h2").agg(F.collect_set("pos").alias("found"))
         return texts.join(mine, ["h1", "h2"]).select("h1", "h2", "text", "found")
 
     masks = _subtrees(_contexts(with_text(False), window, gram), window, gram)
