@@ -137,3 +137,40 @@ def merge_partitions(spark, sf_dir):
     return spark.read.parquet(path).select("k", "n", F.col("day").cast("string").alias("day"))
 
 
+
+
+@query(
+    "enriched_round_trip",
+    f"""WITH {roles.POSITIONS} SELECT vehicle_id, position_s AS position_timestamp, latitude, trip_id, direction_id, CAST(current_stop_sequence AS DOUBLE) AS current_stop_sequence, route_short_name, shape_dist_traveled,
+CAST(schedule_deviation_seconds AS DOUBLE) AS schedule_deviation_seconds FROM positions""",
+)
+def enriched_round_trip(spark, sf_dir):
+    """Encoded, framed and decoded again: presence and negative numbers survive."""
+    from headway.sources.enriched import decode_enriched, encode_enriched
+
+    p = roles.positions(spark, sf_dir).withColumn("position_timestamp", F.col("position_s"))
+    back = decode_enriched(encode_enriched(p.drop("enriched_at"), 3)).filter("decoded")
+    found = back.select("vehicle_id", "position_timestamp", "latitude", "trip_id", "direction_id", "current_stop_sequence", "route_short_name", "shape_dist_traveled", "schedule_deviation_seconds")
+    return numbers(found, "current_stop_sequence", "schedule_deviation_seconds")
+
+
+@query("counters", "SELECT count(*) AS fetched, count(*) FILTER (value <= 400) AS published, count(*) FILTER (value > 400) AS dlq FROM events")
+def counters(spark, sf_dir):
+    """Counted while the rows pass by, without a second read."""
+    from pyspark.sql import Observation
+
+    seen = Observation("counters")
+    e = roles.table(spark, sf_dir, "events").select("value").observe(seen, F.count("*").alias("fetched"), F.count_if(F.col("value") <= 400).alias("published"), F.count_if(F.col("value") > 400).alias("dlq"))
+    e.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([tuple(seen.get[c] for c in ("fetched", "published", "dlq"))], "fetched long, published long, dlq long")
+
+
+@query("static_versions", "SELECT 'nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region")
+def static_versions(spark, sf_dir):
+    """Published with a manifest that comes last, and read back through it."""
+    from headway.plans.queries_more import folder
+
+    path = folder(spark)
+    sinks.publish_version({t: roles.table(spark, sf_dir, t) for t in ("nation", "region")}, path, 7, {"feed_etag": "x"})
+    manifest = spark.read.schema("version_id long, ready boolean, row_counts map<string, bigint>").json(f"{path}/manifest")
+    return manifest.filter("ready").select(F.explode("row_counts").alias("name", "n"))

@@ -80,3 +80,14 @@ def test_closed_windows(spark):
     assert [calendar.parse_duration(x) for x in ("30s", "5m", "24h", "7d")] == [30, 300, 86_400, 604_800]
     with pytest.raises(ValueError):
         calendar.parse_duration("1w")
+
+
+def test_enriched_wire():
+    from headway.sources import enriched
+
+    record = {"vehicle_id": "é", "position_timestamp": 5, "schedule_deviation_seconds": -30, "speed": 0.0, "current_stop_sequence": 0, "direction_id": 0}
+    raw = enriched.encoded(record, 3)
+    back = enriched.decoded(raw)
+    assert (back["vehicle_id"], back["schedule_deviation_seconds"], back["speed"], back["current_stop_sequence"], back["direction_id"], back["bearing"], back["trip_id"]) == ("é", -30, 0.0, 0, 0, None, "")
+    assert enriched.decoded(raw[:5] + b"\x02\x01\x00" + raw[6:])["vehicle_id"] == "é"  # an index array of two
+    assert [enriched.decoded(x) for x in (None, b"{}", raw[:-1], b"\x01" + raw[1:])] == [None] * 4
