@@ -105,7 +105,7 @@ def with_next(documents: DataFrame, carried: list[str]) -> DataFrame:
     Rows are dealt into buckets by doc_id, one exchange; each bucket also gets the row that follows it.
     """
     spark = documents.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # several a partition, so that partitions are of like size
     cells, cell = _buckets(documents.select("doc_id"), n)
     cells = checkpointed(cells)
     dealt = documents.withColumn("cell", cell).join(F.broadcast(cells), "cell").drop("cell")
