@@ -86,9 +86,9 @@ def dq_histogram_exact(spark, sf_dir):
     return quality.histogram_is_exact(marts.error_histogram(e)).groupBy("lead_bucket").agg(F.sum("fractional_values").alias("rows"))
 
 
-@query("dead_letters", """SELECT CAST(event_id AS VARCHAR) AS key, '{"reason":"position_out_of_bounds","detail":"' || event_type || '","entity_key":"' || event_id || '","payload_b64":"' || base64(encode(props)) || '"}' AS value FROM events WHERE value > 400""")
+@query("dead_letters", """SELECT CAST(event_id AS VARCHAR) AS key, '{"reason":"position_out_of_bounds","detail":"' || event_type || '","entity_key":"' || event_id || '","payload_b64":"' || base64(encode(props)) || '"}' AS value FROM events WHERE value > 100""")
 def dead_letters(spark, sf_dir):
-    e = roles.table(spark, sf_dir, "events").filter("value > 400")
+    e = roles.table(spark, sf_dir, "events").filter("value > 100")
     return sinks.dead_letters(e, F.lit("position_out_of_bounds"), F.col("event_type"), F.col("event_id"), F.col("props"))
 
 
