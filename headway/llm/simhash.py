@@ -155,7 +155,8 @@ def keep_first(documents: DataFrame, radius: int = 2, k: int = 3, chunk: int = C
     Rows that repeat an id are one document. Where no document of a group has an id, its rows stay.
     """
     groups = near_duplicates(documents, radius, k, chunk)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = documents.join(first, documents["doc_id"].eqNullSafe(first["_id"]), "left_semi")
-    row = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return kept.withColumn("_row", row).filter("_row = 1 or doc_id is null").drop("_row")
+    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    packed = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))  # so that no column's name can clash
+    kept = packed.alias("d").join(first.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text")))
+    return kept.withColumn("nth", nth).filter("nth = 1 or doc_id is null").select("row.*")

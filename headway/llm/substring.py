@@ -304,8 +304,12 @@ def clean(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int
     Texts that keep all words stay as they are, null ones too; documents of which no word is left go.
     """
     text = F.coalesce("text", F.lit(""))
-    rest = documents.select(*[c for c in documents.columns if c != "text"], F.col("text").isNull().alias("_null"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+    rest = documents.select(  # packed, so that no column's name can clash
+        F.struct(*[c for c in documents.columns if c != "text"]).alias("row"), F.col("text").isNull().alias("absent"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")
+    )
     done = _cleaned(_keyed(documents), window, gram, hot, verbatim=True)
     kept = rest.join(done, ["h1", "h2"]).filter("n_removed < n_words or n_removed = 0")
-    new = {"text": F.when(~F.col("_null"), F.col("kept")), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))}
-    return kept.select(*[new.get(c, F.col(c)).alias(c) for c in documents.columns])
+    new = {"text": F.when(~F.col("absent"), F.col("kept"))}
+    if "n_chars" in documents.columns:
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("row")["n_chars"])
+    return kept.select(*[new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in documents.columns])

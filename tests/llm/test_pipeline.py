@@ -71,3 +71,15 @@ def test_decontamination_keeps_what_overlaps_leave(spark):
     docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, tiles int")
     bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
     assert sorted(r.doc_id for r in decontam.keep_clean(docs, bench).collect()) == [1, 3]
+
+
+def test_stages_carry_columns_of_any_name(spark, tmp_path):
+    tables(spark, str(tmp_path))
+    names = ["h1", "h2", "row", "kept", "n_removed", "copies", "nth", "component_id", "fp", "score", "toxic", "tiles", "absent"]
+    docs = spark.createDataFrame([(i, t, 3, *range(13)) for i, t in enumerate(["one two three", "four five six seven", "x " * 50])], f"doc_id int, text string, n_chars long, {', '.join(f'{n} int' for n in names)}")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "n_chars", *names], name
+    rows = sorted(docs.collect())
+    assert [r.doc_id for r in rows] == [0, 1] and all(tuple(r)[3:] == tuple(range(13)) and r.n_chars == 3 for r in rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 2
