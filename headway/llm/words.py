@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from headway.llm.common import held_out
 
 
+#: Labels that a sample has at most.
+LABELS = 256
+
+
 class WordTable:
     """Rows of numbers for words, remembered for about cap distinct words."""
 
@@ -45,10 +49,11 @@ def fraction(doc_id: Column) -> Column:
 def labelled_sample(rows: DataFrame, label: str, per_label: int) -> tuple[DataFrame, dict]:
     """About per_label rows of each label, never more than 1.5 times as many in all; and how many rows each label has.
 
-    From rows with doc_id and a label that isn't null, without those held out. Which rows depends on their ids alone.
+    From rows with doc_id and a label that isn't null, without those held out. Which rows depends on their ids alone. Of more
+    than LABELS labels, the most frequent are learned.
     """
     usable = rows.filter(F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r[0]: r[1] for r in usable.groupBy(label).count().orderBy(F.desc("count"), label).limit(256).collect()}
+    counts = {r[0]: r[1] for r in usable.groupBy(label).count().orderBy(F.desc("count"), label).limit(LABELS).collect()}
     chosen = F.lit(False)
     for value, n in counts.items():
         chosen = chosen | ((F.col(label) == F.lit(value)) & (fraction(F.col("doc_id")) < 1.2 * per_label / n))
