@@ -122,12 +122,16 @@ def _decoded(payloads: DataFrame, parse, columns: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
+            rows: list = []
             for etag, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
-                    rows = [{"feed_etag": etag, "error": None, **r} for r in parse(content or b"")]
+                    rows += [{"feed_etag": etag, "error": None, **r} for r in list(parse(content or b""))]
                 except Malformed as e:
-                    rows = [{"feed_etag": etag, "error": str(e), **dict.fromkeys(names)}]
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    rows.append({"feed_etag": etag, "error": str(e), **dict.fromkeys(names)})
+                if len(rows) >= 4096:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    rows = []
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return payloads.select("feed_etag", "content").mapInArrow(run, f"feed_etag string, error string, {columns}")
 
