@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, decontam, simhash, substring, toxicity
+from headway.llm import bpe, decontam, neardup, substring, toxicity
 from headway.llm.common import read_table, written
 from headway.llm.queries import tokenizer_spec
 
@@ -20,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_first(docs)
+    return neardup.keep_first(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
-    ("SimHash near-dedup", drop_near_duplicates),
+    ("near-dedup", drop_near_duplicates),
     ("substring dedup", cut_repeats),
     ("benchmark decontamination", drop_contaminated),
     ("BPE encoding and decoding", encode),

@@ -1,0 +1,119 @@
+"""Near-duplicates by word shingles: documents whose sets of K-word shingles have a Jaccard similarity of SIMILARITY or more.
+
+MinHash bands propose pairs and the texts decide each exactly, so no pair below the similarity is ever linked. Two documents
+of similarity 0.8 share a band with probability 0.9999. No bucket of a band is capped: first every member is compared with
+the least of its bucket; then, where members of a bucket are in different components, each such pair that was not compared
+yet. A bucket of near copies is one component after the first step, so its pairs don't grow with its square.
+
+Equal sets are one node from the start, known by a 64-bit hash, and a row by its id and text in two. Defined cases: null and
+empty texts and texts of white space only are one group; texts under K words are one shingle; a component keeps the row of
+least doc_id, then of least hash, and a null doc_id only where it has no other; rows that repeat id and text are one row;
+rows that repeat an id with different texts are different documents. Other columns are carried.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from headway.llm.common import TextSizes, checkpointed, slices, written
+from headway.llm.components import connected_components
+from headway.llm.simhash import shingle_hashes
+
+K = 5
+SIMILARITY = 0.8
+BANDS, ROWS = 32, 6
+RADIX = np.uint64(0x9E3779B97F4A7C15)
+FACTORS = np.random.default_rng(42).integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+KEYS = ["h1", "h2"]
+
+
+def shingle_set(text: bytes, k: int = K) -> np.ndarray:
+    return np.unique(shingle_hashes(text, k))
+
+
+def bands(shingles: np.ndarray) -> np.ndarray:
+    """One hash for each band; none for an empty set."""
+    if not len(shingles):
+        return np.zeros(0, np.uint64)
+    low = np.full(len(FACTORS), 2**32 - 1, np.uint32)
+    folded = (shingles >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(folded), 2048):
+        low = np.minimum(low, (folded[i : i + 2048, None] * FACTORS).min(axis=0))
+    out = np.arange(BANDS, dtype=np.uint64)
+    for row in low.reshape(BANDS, ROWS).T:
+        out = (out ^ row) * RADIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _marked(keyed: DataFrame) -> DataFrame:
+    """doc_id, h1, h2, node, bands of each row."""
+
+    def run(batches):
+        import xxhash
+
+        for batch in batches:
+            texts = batch.column(3).cast(pa.binary())
+            for i, j in slices(TextSizes(texts), 4_000_000):
+                sets = [shingle_set(t.as_py() or b"") for t in texts.slice(i, j - i)]
+                nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) if len(s) else 0 for s in sets], dtype="<u8")
+                found = [bands(s).view(np.int64) for s in sets]
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                yield pa.record_batch([*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array(nodes.view("<i8")), lists], names=["doc_id", *KEYS, "node", "bands"])
+
+    return keyed.select("doc_id", *KEYS, F.col("row.text").alias("text")).mapInArrow(run, "doc_id long, h1 long, h2 long, node long, bands array<long>")
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts reach the similarity."""
+
+    def run(batches):
+        for batch in batches:
+            last, keep = (None, None), []
+            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
+                if last[0] != a:
+                    last = (a, shingle_set(x.cast(pa.binary()).as_py() or b""))
+                other = shingle_set(y.cast(pa.binary()).as_py() or b"")
+                both = len(np.intersect1d(last[1], other, assume_unique=True))
+                keep.append(both >= 1 and both / (len(last[1]) + len(other) - both) >= similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def links(nodes: DataFrame, keyed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, component) of the nodes that have a similar one."""
+    posted = nodes.select("node", F.explode("bands").alias("band"))
+    leaders = posted.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = written(posted.join(leaders, "band"))
+    needed = shared.select("node").distinct().join(nodes.select("node", "first.h1", "first.h2"), "node")
+    texts = written(keyed.select(*KEYS, F.col("row.text").alias("text")).join(needed, KEYS).dropDuplicates(["node"]).select("node", "text"))
+    pairs = shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    near = checkpointed(_similar(pairs, texts, similarity))
+    part = connected_components(near)
+    whole = lambda c: F.coalesce(F.col(f"{c}_part"), F.col(c))
+    for c in ("node", "leader"):
+        shared = shared.join(part.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part")), c, "left")
+    shared = shared.select("band", "node", "leader", whole("node").alias("part"), (whole("node") == whole("leader")).alias("led"))
+    strays = shared.filter("not led").select("band", F.col("node").alias("stray"), F.col("part").alias("stray_part"))
+    met = shared.filter("node <> leader").join(strays, "band").filter("part <> stray_part and (led or node < stray)")
+    more = met.select(F.least("node", "stray").alias("a"), F.greatest("node", "stray").alias("b")).distinct()
+    return connected_components(near.union(_similar(more, texts, similarity)))
+
+
+def keep_first(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each group of near-duplicates, with all its columns."""
+    doc_id = F.col("doc_id").cast("long")
+    keyed = documents.select(F.struct("*").alias("row"), doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("h1"), F.xxhash64("text", doc_id, F.lit(1)).alias("h2"))  # so that no column's name can clash
+    marked = checkpointed(_marked(keyed))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *KEYS)).alias("first")
+    nodes = checkpointed(marked.groupBy("node").agg(first, F.any_value("bands").alias("bands")))
+    joined = nodes.join(links(nodes, keyed, similarity), "node", "left")
+    kept = checkpointed(joined.groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("first").alias("first")).select("first.h1", "first.h2"))
+    nth = F.row_number().over(Window.partitionBy(*KEYS).orderBy("doc_id"))
+    return keyed.join(kept, KEYS, "left_semi").withColumn("nth", nth).filter("nth = 1").select("row.*")

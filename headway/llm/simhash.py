@@ -29,20 +29,28 @@ QUARTERS = 4
 BASE = 17
 
 
-def fingerprint(text: bytes, k: int = 3, seed: int = 42) -> np.uint64:
+def shingle_hashes(text: bytes, k: int, seed: int = 42) -> np.ndarray:
+    """Hashes of the shingles of k words in order; none where there is no word, one where there are fewer than k."""
     import xxhash
 
     words = text.lower().split()  # of bytes: A-Z only, and white space is x20, x09 to x0D
     if not words:
-        return np.uint64(0)
+        return np.zeros(0, "<u8")
     n = max(1, len(words) - k + 1)
     ends = np.cumsum([len(w) + 1 for w in words])
     joined, starts = b" ".join(words), [0, *ends[: n - 1].tolist()]
     h = xxhash.xxh64_intdigest
-    hashes = [h(joined[a:b], seed) for a, b in zip(starts, (ends[min(k, len(words)) - 1 :] - 1).tolist())]
+    return np.array([h(joined[a:b], seed) for a, b in zip(starts, (ends[min(k, len(words)) - 1 :] - 1).tolist())], dtype="<u8")
+
+
+def fingerprint(text: bytes, k: int = 3, seed: int = 42) -> np.uint64:
+    hashes = shingle_hashes(text, k, seed)
+    n = len(hashes)
+    if not n:
+        return np.uint64(0)
     counts = np.zeros(64, np.int64)
     for i in range(0, n, 65536):
-        part = np.array(hashes[i : i + 65536], dtype="<u8")
+        part = hashes[i : i + 65536]
         counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return np.packbits(2 * counts > n, bitorder="little").view("<u8")[0]
 

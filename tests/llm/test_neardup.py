@@ -1,0 +1,60 @@
+import random
+
+from headway.llm import neardup
+
+import corpus_pipeline
+
+
+def brute_set(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_kept(rows):
+    """The least id of each group of texts whose 5-word shingles have a Jaccard similarity of 0.8 or more."""
+    sets, group = {i: brute_set(t) for i, t in rows}, {i: i for i, _ in rows}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if i < j and (a == b or len(a & b) >= 0.8 * len(a | b)):
+                x, y = sorted((root(i), root(j)))
+                group[y] = x
+    return {root(i) for i in group}
+
+
+def test_stage_finds_pairs_of_similarity(spark, documents):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(5000)}"
+    rows = [(1, None), (2, ""), (3, "a b c"), (4, "A  b c"), (5, "a b d")]
+    for i in range(60):
+        base = [word() for _ in range(rng.randrange(60, 200))]
+        rows.append((100 * i + 100, " ".join(base)))
+        for j in range(4):  # about 0.65 to 1
+            new = list(base)
+            for _ in range(rng.randrange(0, 6)):
+                new[rng.randrange(len(new))] = word()
+            rows.append((100 * i + 101 + j, " ".join(new)))
+    found = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, documents(rows), "").collect()]
+    assert sorted(found) == sorted(brute_kept(rows))
+
+
+def test_buckets_with_strays(spark, documents):
+    """All in one bucket: the least is near none of them, and two others are near each other."""
+    words = [f"w{i}" for i in range(100)]
+    texts = {0: words[:60] + [f"x{i}" for i in range(40)], 1: words, 2: [*words[:-1], "new"], 3: [f"z{i}" for i in range(30)]}
+    keyed = documents([(i, " ".join(t)) for i, t in texts.items()]).selectExpr("struct(*) as row", "doc_id", "doc_id as h1", "doc_id as h2")
+    nodes = spark.createDataFrame([(i, (False, i, i, i), [7]) for i in texts], "node long, first struct<absent: boolean, doc_id: long, h1: long, h2: long>, bands array<long>")
+    assert {tuple(r) for r in neardup.links(nodes, keyed).collect()} == {(1, 1), (2, 1)}
+    assert neardup.links(nodes.filter("node = 3"), keyed).count() == 0
+
+
+def test_rows_that_share_an_id_with_different_texts_stay(documents):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, a), (1, b), (1, b), (2, b), (3, a + " more"), (None, a), (None, "only this")]
+    found = [(r.doc_id, r.text) for r in neardup.keep_first(documents(rows)).collect()]
+    assert sorted(found, key=str) == sorted([(1, a), (1, b), (None, "only this")], key=str)
