@@ -38,8 +38,11 @@ def first_arrivals(observations: DataFrame) -> DataFrame:
 
 
 def join_arrivals(predictions: DataFrame, observations: DataFrame, config: Accuracy = Accuracy()) -> DataFrame:
-    """Times are epoch seconds. A forecast is issued before the arrival it forecasts, at most window_s ahead of it."""
-    pairs = newest(predictions, config).join(first_arrivals(observations), KEY).filter("issued_at < observed_at")
+    """Times are epoch seconds. A forecast is issued before the arrival it forecasts, at most window_s ahead of it.
+
+    The cap counts only predictions issued before the arrival.
+    """
+    pairs = newest(predictions.join(first_arrivals(observations), KEY).filter("issued_at < observed_at"), config)
     lead, error = F.col("predicted_arrival") - F.col("issued_at"), F.col("predicted_arrival") - F.col("observed_at")
     kept = pairs.withColumn("lead_time_s", lead).withColumn("error_s", error).filter(F.col("lead_time_s") <= config.window_s)
     if not config.keep_negative_lead:

@@ -233,3 +233,10 @@ def test_census_and_lags(spark):
     lags = spark.createDataFrame([("a", 5), ("b", 50), ("c", None)], "grp string, lag int")
     limits = spark.createDataFrame([(g, 10) for g in "abcd"], "grp string, max_lag int")
     assert sorted(r.grp for r in quality.lag_over(lags, limits).collect()) == ["b", "c", "d"]
+
+
+def test_cap_counts_only_predictions_before_the_arrival(spark):
+    """150 before the arrival and 130 after it: the newest 120 of the former are due."""
+    p = spark.createDataFrame([("20240101", "t", "s", 1000 + i, 2000) for i in [*range(150), *range(200, 330)]], "service_day string, trip_id string, stop_id string, issued_at long, predicted_arrival long")
+    o = spark.createDataFrame([("20240101", "t", "s", "1", "R1", 1180)], "service_day string, trip_id string, stop_id string, route_id string, route_short_name string, observed_at long")
+    assert sorted(r.issued_at for r in accuracy.join_arrivals(p, o).collect()) == [1000 + i for i in range(30, 150)]
