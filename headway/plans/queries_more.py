@@ -330,13 +330,9 @@ def stream_tumbling(spark, sf_dir):
     """Windows that have surely closed: one file at a time, with room for files that are read out of order."""
     p = roles.positions(spark, sf_dir).select("vehicle_id", "position_timestamp", "position_s", "route_id", "direction_id")
     last = p.agg(F.max("position_s")).first()[0]
-    stream = jobs.tumbling_counts(streamed(spark, p, 4), roles.DETECTION)
-    path = folder(spark)
-    batch = jobs.tumbling_counts(p, roles.DETECTION)
-    out = jobs.run_available(stream, path)
-    done = out.select("window_end", "route_id", "direction_id", "positions")
-    rest = batch.select("window_end", "route_id", "direction_id", "positions").join(done, ["window_end", "route_id", "direction_id"], "left_anti")  # still open at the end
-    return done.unionByName(rest).filter(F.col("window_end") < last - 86_400)
+    stream, batch = jobs.tumbling_counts(streamed(spark, p, 4), roles.DETECTION), jobs.tumbling_counts(p, roles.DETECTION)
+    out = jobs.with_open_windows(stream, batch, folder(spark))
+    return out.select("window_end", "route_id", "direction_id", "positions").filter(F.col("window_end") < last - 86_400)
 
 
 @query("stream_cooldown", re.sub(r"SELECT c\.route_id.*", "SELECT DISTINCT c.pair, c.window_end, c.gap_ft FROM confirmed c JOIN fold f ON f.pair = c.pair AND f.window_end = c.window_end WHERE f.fires", COOLDOWN_SQL, flags=re.S))

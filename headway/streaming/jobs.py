@@ -159,7 +159,20 @@ def value_dedupe(rows: DataFrame, ttl_s: int | None = 86_400) -> DataFrame:
 
 def run_available(stream: DataFrame, path: str) -> DataFrame:
     """Run a stream over what is there, into a Parquet table at path, and read it."""
+    return _run(stream, path)[0]
+
+
+def _run(stream: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """The stream's table, and the last watermark as text (the epoch where there is none)."""
     spark = stream.sparkSession
     q = stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).outputMode("append").start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/out")
+    marks = [p["eventTime"]["watermark"] for p in q.recentProgress if "watermark" in p["eventTime"]]
+    return spark.read.schema(stream.schema).parquet(f"{path}/out"), max(marks, default="1970-01-01T00:00:00.000Z")
+
+
+def with_open_windows(stream: DataFrame, batch: DataFrame, path: str) -> DataFrame:
+    """The windows that a stream closes, and those that its last watermark leaves open from the batch form; what it dropped as late stays out."""
+    closed, watermark = _run(stream, path)
+    still_open = F.timestamp_seconds("window_end") > F.lit(watermark).cast("timestamp")
+    return closed.unionByName(batch.filter(still_open))

@@ -240,3 +240,14 @@ def test_cap_counts_only_predictions_before_the_arrival(spark):
     p = spark.createDataFrame([("20240101", "t", "s", 1000 + i, 2000) for i in [*range(150), *range(200, 330)]], "service_day string, trip_id string, stop_id string, issued_at long, predicted_arrival long")
     o = spark.createDataFrame([("20240101", "t", "s", "1", "R1", 1180)], "service_day string, trip_id string, stop_id string, route_id string, route_short_name string, observed_at long")
     assert sorted(r.issued_at for r in accuracy.join_arrivals(p, o).collect()) == [1000 + i for i in range(30, 150)]
+
+
+
+def test_windows_dropped_as_late_stay_out(spark, tmp_path):
+    """The last file has a row that is days late; only the window that the last watermark leaves open comes from the batch form."""
+    at = [(0, 100), (1, 200_000), (2, 200_400), (3, 200_500), (4, 50_000)]
+    p = spark.createDataFrame([(i, "v", s, "1", 0) for i, s in at], "arrival int, vehicle_id string, position_s long, route_id string, direction_id int").withColumn("position_timestamp", F.timestamp_seconds("position_s"))
+    stream = queries_more.streamed(spark, p, 4, "arrival")
+    config = Bunching(window_s=3600)
+    out = jobs.with_open_windows(jobs.tumbling_counts(stream, config), jobs.tumbling_counts(p, config), str(tmp_path))
+    assert sorted((r.window_end, r.positions) for r in out.collect()) == [(3600, 1), (201_600, 3)]
