@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,14 +17,44 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_top(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Only a local master, where all tasks share one machine, may leave it unset."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = f"file://{tempfile.gettempdir()}"
+    return top.rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a copy in the shared folder that the session names (a folder of its own only where none is set)."""
+    """Cut lineage with a copy in the shared folder that the session names."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="headway-"))
+        context.setCheckpointDir(shared_top(df.sparkSession))
     return df.checkpoint()
 
 
+#: A key is hot if it has more than one in HOT_KEYS of the rows and more than HOT_ROWS, so there are fewer than HOT_KEYS hot ones.
+HOT_KEYS, HOT_ROWS = 10_000, 1000
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join of left and right, which has one row of fixed width for each key and in n how many rows of left have it.
+
+    The fewer than HOT_KEYS hot keys are broadcast, so their rows stay where they are; the rest is a join as Spark plans it.
+    Both sides are read twice: they should be written or checkpointed. n is dropped.
+    """
+    total, most = right.agg(F.sum("n"), F.max("n")).first()
+    limit = max(HOT_ROWS, (total or 0) // HOT_KEYS)
+    if (most or 0) <= limit:
+        return left.join(right.drop("n"), key)
+    hot = F.col("n") > limit
+    some = right.filter(hot).drop("n")
+    spread = left.join(F.broadcast(some), key)
+    return spread.unionByName(left.join(F.broadcast(some.select(key)), key, "left_anti").join(right.filter(~hot).drop("n"), key))
+
+
 def held_out(doc_id: Column) -> Column:
     """One fifth of the documents, chosen by their id alone."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -60,9 +91,8 @@ class TextSizes:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that the session names for checkpoints (one of its own only where none is set)."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{top.rstrip('/')}/headway-{uuid.uuid4().hex}"
+    """A new folder below the one that the session names for checkpoints."""
+    return f"{shared_top(spark)}/headway-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:

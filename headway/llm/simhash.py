@@ -1,14 +1,21 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Fingerprints are dealt into tiles by the population counts of their four 16-bit quarters. Two fingerprints within the
-radius have counts that differ by no more than the radius in all, so only such tiles are paired; within a pair of tiles
-every pair is compared, by numpy exclusive-or and bit counts. Tiles are cut into chunks of about CHUNK fingerprints, so a
-pair of chunks has bounded memory however large a tile grows, and each pair of chunks returns a spanning forest of its
-links, never all of them. Equal fingerprints are one fingerprint from the start.
-
-Defined cases: null and empty texts and texts of white space only have fingerprint zero, which links like any other; texts
-under k words are one shingle; repeated rows are rows of one group; a null doc_id never names a component while another id
-is there; an empty table gives no rows. Other columns are ignored.
+Fingerprints are dealt into tiles by the population counts of their parts (four quarters of 16 bits, or the whole where the
+radius is wide). Two fingerprints within the radius have counts that differ by no more than the radius in all, so only such
+tiles are paired; within a pair of tiles every pair is compared, by numpy exclusive-or and bit counts. Tiles are cut into
+chunks, so a pair of chunks has bounded memory however large a tile grows. Equal fingerprints are one from the start.
+
+``near_duplicates`` links fingerprints within a radius: each pair of chunks returns a spanning forest of its links, never all
+of them. ``keep_first`` links texts whose sets of K-word shingles have a Jaccard similarity of SIMILARITY or more: the tiles
+propose pairs whose fingerprints differ by WIDE bits or fewer, a second fingerprint and the sizes of the sets drop those that
+are near by chance, and the texts decide each. Every text is first compared with its least neighbours; then only pairs of
+texts that are in different components yet are formed, so a group of copies never becomes all its pairs. What is linked is
+exact; a pair of similarity 0.8 is proposed with a probability of 0.996.
+
+Defined cases: null and empty texts and texts of white space only have fingerprint zero, which links like any other, and are
+one group by shingles; texts under k words are one shingle; repeated rows are rows of one group; rows with a null doc_id link
+like others, but a null never names a component while another id is there; an empty table gives no rows. Other columns are
+ignored by near_duplicates and carried by keep_first.
 """
 
 from __future__ import annotations
@@ -17,16 +24,18 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import TextSizes, checkpointed, slices
+from headway.llm.common import HOT_KEYS, TextSizes, checkpointed, forget, hot_join, slices, written
 from headway.llm.components import connected_components
 
 CHUNK = 2048
-QUARTERS = 4
-#: Counts of a 16-bit quarter: 0 to 16.
-BASE = 17
+#: Of keep_first: words of a shingle, least similarity, bits that the fingerprint and both fingerprints together may differ by.
+K, SIMILARITY, WIDE, BOTH = 5, 0.8, 18, 34
+WIDE_CHUNK = 16_384
+#: Pairs of one text that make a share.
+COMPARED = 1000
 
 
 def shingle_hashes(text: bytes, k: int, seed: int = 42) -> np.ndarray:
@@ -43,8 +52,8 @@ def shingle_hashes(text: bytes, k: int, seed: int = 42) -> np.ndarray:
     return np.array([h(joined[a:b], seed) for a, b in zip(starts, (ends[min(k, len(words)) - 1 :] - 1).tolist())], dtype="<u8")
 
 
-def fingerprint(text: bytes, k: int = 3, seed: int = 42) -> np.uint64:
-    hashes = shingle_hashes(text, k, seed)
+def majority(hashes: np.ndarray) -> np.uint64:
+    """The bits that are set in over half the hashes."""
     n = len(hashes)
     if not n:
         return np.uint64(0)
@@ -55,6 +64,20 @@ def fingerprint(text: bytes, k: int = 3, seed: int = 42) -> np.uint64:
     return np.packbits(2 * counts > n, bitorder="little").view("<u8")[0]
 
 
+def fingerprint(text: bytes, k: int = 3, seed: int = 42) -> np.uint64:
+    return majority(shingle_hashes(text, k, seed))
+
+
+def shingle_set(text: bytes, k: int = K) -> np.ndarray:
+    return np.unique(shingle_hashes(text, k))
+
+
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """Other hashes of the same shingles."""
+    h = (hashes ^ hashes >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+    return (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def fingerprints(documents: DataFrame, k: int = 3) -> DataFrame:
     """doc_id, fp: the fingerprint's bits as a long; one row for each input row."""
 
@@ -98,73 +121,210 @@ def tile_links(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[n
     return _forest(np.concatenate([x[0] for x in rows]), np.concatenate([x[1] for x in rows]), n)
 
 
-def _quarter(fp: Column, q: int) -> Column:
-    return F.bit_count(F.shiftrightunsigned(fp, 16 * q).bitwiseAND(F.lit(0xFFFF)))
+def _part(fp: Column, p: int, width: int) -> Column:
+    return F.bit_count(F.shiftrightunsigned(fp, width * p).bitwiseAND(F.lit((1 << width) - 1))) if width < 64 else F.bit_count(fp)
 
 
-def link(distinct: DataFrame, radius: int = 2, chunk: int = CHUNK) -> DataFrame:
-    """(fp, node), each fp once -> (a, b): links of nodes that join all whose fingerprints are within the radius."""
-    tiled = checkpointed(distinct.select("fp", "node", sum(_quarter(F.col("fp"), q) * BASE**q for q in range(QUARTERS)).alias("tile")))
-    # at most 17 ** 4 rows
+def _tile_pairs(prints: DataFrame, radius: int, chunk: int) -> DataFrame:
+    """(fp, other columns) -> same, a, b: each pair of chunks whose tiles may hold fingerprints within the radius.
+
+    a and b are structs of lists, one for each column. Chunks hold about chunk rows each.
+    """
+    parts = 4 if radius <= 3 else 1
+    width = 64 // parts
+    base = width + 1  # counts of a part: 0 to width
+    columns = prints.columns
+    tiled = prints.withColumn("tile", sum(_part(F.col("fp"), p, width) * base**p for p in range(parts)))
+    # at most base ** parts rows: 83,521
     sizes = tiled.groupBy("tile").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
-    packed = (
-        tiled.join(F.broadcast(sizes), "tile").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-        .groupBy("tile", "chunk").agg(F.collect_list("fp").alias("fps"), F.collect_list("node").alias("nodes"))
-    )
-    packed = checkpointed(packed)
-    steps = [d for d in itertools.product(range(-radius, radius + 1), repeat=QUARTERS) if sum(map(abs, d)) <= radius]
-    digit = lambda q: F.floor(F.col("tile") / BASE**q) % BASE
+    dealt = tiled.join(F.broadcast(sizes), "tile").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    packed = checkpointed(dealt.groupBy("tile", "chunk").agg(F.collect_list(F.struct(*columns)).alias("rows")).select("tile", "chunk", F.struct(*[F.col(f"rows.{c}").alias(c) for c in columns]).alias("b")))
+    steps = [d for d in itertools.product(range(-radius, radius + 1), repeat=parts) if sum(map(abs, d)) <= radius]
+    digit = lambda p: F.floor(F.col("tile") / base**p) % base
     near = []
     for d in steps:
-        offset = sum(x * BASE**q for q, x in enumerate(d))
+        offset = sum(x * base**p for p, x in enumerate(d))
         if offset >= 0:  # each pair of tiles from its smaller one
             fits = F.lit(True)
-            for q, x in enumerate(d):
-                fits = fits & (digit(q) + x).between(0, BASE - 1) if x else fits
+            for p, x in enumerate(d):
+                fits = fits & (digit(p) + x).between(0, base - 1) if x else fits
             near.append(F.when(fits, F.col("tile") + offset))
     other = sizes.select(F.col("tile").alias("to_tile"), F.col("chunks").alias("to_chunks"))
-    probes = packed.select("tile", "chunk", "fps", "nodes", F.explode(F.array_compact(F.array(*near))).alias("to_tile")).join(F.broadcast(other), "to_tile")
+    probes = packed.select("tile", "chunk", F.col("b").alias("a"), F.explode(F.array_compact(F.array(*near))).alias("to_tile")).join(F.broadcast(other), "to_tile")
     first = F.when(F.col("tile") == F.col("to_tile"), F.col("chunk")).otherwise(0)
-    probes = probes.select("tile", "chunk", "fps", "nodes", "to_tile", F.explode(F.sequence(first, F.col("to_chunks") - 1)).alias("to_chunk"))
-    targets = packed.select(F.col("tile").alias("to_tile"), F.col("chunk").alias("to_chunk"), F.col("fps").alias("to_fps"), F.col("nodes").alias("to_nodes"))
-    pairs = probes.join(targets, ["to_tile", "to_chunk"]).select(
-        ((F.col("tile") == F.col("to_tile")) & (F.col("chunk") == F.col("to_chunk"))).alias("same"), "fps", "nodes", "to_fps", "to_nodes"
-    )
+    probes = probes.select("tile", "chunk", "a", "to_tile", F.explode(F.sequence(first, F.col("to_chunks") - 1)).alias("to_chunk"))
+    targets = packed.withColumnsRenamed({"tile": "to_tile", "chunk": "to_chunk"})
+    same = (F.col("tile") == F.col("to_tile")) & (F.col("chunk") == F.col("to_chunk"))
+    return probes.join(targets, ["to_tile", "to_chunk"]).select(same.alias("same"), "a", "b")
+
+
+def _arrays(batch: pa.RecordBatch, r: int) -> tuple[bool, dict, dict]:
+    """Row r of _tile_pairs."""
+    side = lambda c: {f.name: batch.column(c).field(f.name)[r].values.to_numpy(zero_copy_only=False) for f in batch.column(c).type}
+    return batch.column(0)[r].as_py(), side(1), side(2)
+
+
+def link(distinct: DataFrame, radius: int = 2, chunk: int = CHUNK) -> DataFrame:
+    """fp, each once -> (a, b): links of fingerprints that join all which are within the radius."""
 
     def run(batches):
         for batch in batches:
             found = []
             for r in range(batch.num_rows):
-                same, *columns = (batch.column(c)[r] for c in range(5))
-                a, m, b, n = (x.values.to_numpy(zero_copy_only=False) for x in columns)
-                i, j = tile_links(a.view(np.uint64), b.view(np.uint64), radius, same.as_py())
+                same, x, y = _arrays(batch, r)
+                a, b = x["fp"], y["fp"]
+                i, j = tile_links(a.view(np.uint64), b.view(np.uint64), radius, same)
                 if len(i):
-                    nodes = m if same.as_py() else np.concatenate([m, n])
-                    found.append((nodes[i], nodes[j]))
+                    both = a if same else np.concatenate([a, b])
+                    found.append((both[i], both[j]))
             if found:
                 yield pa.record_batch([pa.array(np.concatenate([x[k] for x in found])) for k in (0, 1)], names=["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return _tile_pairs(distinct.select("fp"), radius, chunk).mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame, radius: int = 2, k: int = 3, chunk: int = CHUNK) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id (least doc_id that links reach)."""
     marked = checkpointed(fingerprints(documents, k))
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node is not null")
-    distinct = checkpointed(distinct)
-    joined = connected_components(link(distinct, radius, chunk))
-    groups = distinct.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(groups, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    distinct = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    joined = checkpointed(connected_components(link(distinct, radius, chunk)))
+    parts = checkpointed(distinct.join(joined, distinct["fp"] == joined["node"], "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("part")))
+    named = checkpointed(parts.groupBy("part").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    groups = checkpointed(hot_join(parts, named, "part").select("fp", "component_id", "n"))
+    return hot_join(marked, groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_places(a: dict, b: dict, same: bool, least: bool, similarity: float = SIMILARITY, wide: int = WIDE, both: int = BOTH):
+    """Places in a and in b, in arrays block by block, whose fingerprints and sizes allow the similarity and whose parts differ.
+
+    least: of each row's neighbours only the first on either side.
+    """
+    x, y, u, v = (c.view(np.uint64) for c in (a["fp"], b["fp"], a["other"], b["other"]))
+    met = np.zeros(len(y), bool)
+    for k in range(0, len(x), 16):
+        rows = []
+        for o in range(0, len(y), 4096):
+            i, j = np.divmod(np.flatnonzero(np.bitwise_count(x[k : k + 16, None] ^ y[None, o : o + 4096]) <= wide), len(y[o : o + 4096]))
+            rows.append((i + k, j + o))
+        i, j = (np.concatenate([r[c] for r in rows]) for c in (0, 1))
+        keep = np.bitwise_count(x[i] ^ y[j]) + np.bitwise_count(u[i] ^ v[j]) <= both
+        keep &= (np.minimum(a["size"][i], b["size"][j]) >= similarity * np.maximum(a["size"][i], b["size"][j])) & (a["part"][i] != b["part"][j])
+        if same:
+            keep &= i < j
+        i, j = i[keep], j[keep]
+        if least and len(i):
+            order = np.lexsort((j, i))
+            i, j = i[order], j[order]
+            new = np.r_[True, i[1:] != i[:-1]]  # the first of each row
+            fresh = np.zeros(len(j), bool)
+            fresh[np.unique(j, return_index=True)[1]] = True  # the first of each column, if no earlier block had one
+            fresh &= ~met[j]
+            met[j] = True
+            i, j = i[new | fresh], j[new | fresh]
+        if len(i):
+            yield i, j
+
+
+def candidates(nodes: DataFrame, least: bool, chunk: int = WIDE_CHUNK) -> DataFrame:
+    """(fp, other, size, part, node) -> (a, b): pairs of nodes of different parts that may be similar."""
 
+    def run(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                same, x, y = _arrays(batch, r)
+                for i, j in near_places(x, y, same, least):
+                    m, n = x["node"][i], y["node"][j]
+                    yield pa.record_batch([pa.array(np.minimum(m, n)), pa.array(np.maximum(m, n))], names=["a", "b"])
+
+    pairs = _tile_pairs(nodes.select("fp", "other", "size", "part", "node"), WIDE, chunk)
+    return pairs.mapInArrow(run, "a long, b long").distinct()
 
-def keep_first(documents: DataFrame, radius: int = 2, k: int = 3, chunk: int = CHUNK) -> DataFrame:
-    """One document of each group of near-duplicates, that of the least doc_id, with all its columns.
 
-    Rows that repeat an id are one document. Where no document of a group has an id, its rows stay.
+def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts (node, text) have the similarity; written.
+
+    A node with many pairs is dealt to several tasks and its text to each of them: COMPARED pairs a share, or one in HOT_KEYS.
     """
-    groups = near_duplicates(documents, radius, k, chunk)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    packed = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))  # so that no column's name can clash
-    kept = packed.alias("d").join(first.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text")))
-    return kept.withColumn("nth", nth).filter("nth = 1 or doc_id is null").select("row.*")
+
+    def run(batches):
+        for batch in batches:
+            last, keep = (None, None), []
+            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
+                if last[0] != a:
+                    last = (a, shingle_set(x.cast(pa.binary()).as_py() or b""))
+                other = shingle_set(y.cast(pa.binary()).as_py() or b"")
+                both = len(np.intersect1d(last[1], other, assume_unique=True))
+                keep.append(both >= 1 and both >= similarity * (len(last[1]) + len(other) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = written(pairs)
+    rows, each = pairs, max(COMPARED, pairs.count() // HOT_KEYS)
+    for c, other in (("b", "a"), ("a", "b")):
+        shares = pairs.groupBy(c).agg(F.ceil(F.count("*") / each).cast("int").alias("shares"))
+        side = shares.join(texts, F.col(c) == F.col("node")).select(c, F.col("text").alias(f"text_{c}"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
+        many = F.broadcast(shares.filter("shares > 1"))  # fewer than HOT_KEYS rows
+        dealt = rows.join(many, c, "left").withColumn("share", F.pmod(F.xxhash64(other), F.coalesce("shares", F.lit(1))).cast("int")).drop("shares")
+        rows = dealt.join(side, [c, "share"]).drop("share")
+    out = written(rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
+    forget(pairs)
+    return out
+
+
+def _marked(keyed: DataFrame, k: int) -> DataFrame:
+    """(doc_id, h1, h2, row with a text) -> the first three, and the set of shingles: two hashes, size, two fingerprints."""
+
+    def run(batches):
+        import xxhash
+
+        h = xxhash.xxh64_intdigest
+        for batch in batches:
+            texts = batch.column(3).cast(pa.binary())
+            for i, j in slices(TextSizes(texts), 4_000_000):
+                found = np.zeros((5, j - i), "<u8")
+                for n, t in enumerate(texts.slice(i, j - i)):
+                    s = shingle_set(t.as_py() or b"", k)
+                    raw = s.tobytes()
+                    found[:, n] = h(raw), h(raw, 1), len(s), majority(s), majority(mixed(s))
+                yield pa.record_batch([*(batch.column(c).slice(i, j - i) for c in range(3)), *(pa.array(f.view("<i8")) for f in found)], names=["doc_id", "h1", "h2", "s1", "s2", "size", "fp", "other"])
+
+    rows = keyed.select("doc_id", "h1", "h2", F.col("row.text").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, h1 long, h2 long, s1 long, s2 long, size long, fp long, other long")
+
+
+def similar_groups(nodes: DataFrame, texts_of, similarity: float = SIMILARITY, chunk: int = WIDE_CHUNK) -> DataFrame:
+    """(node, fp, other, size) -> (node, component) of the nodes that have a similar one; texts_of gives (node, text) of some nodes."""
+    first = written(candidates(nodes.withColumn("part", F.col("node")), True, chunk))
+    met = checkpointed(first.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    texts = written(texts_of(met))
+    near = similar(first, texts, similarity)
+    parts = connected_components(near)
+    mine = nodes.join(met, "node").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    more = similar(candidates(mine, False, chunk), texts, similarity)
+    out = checkpointed(connected_components(near.union(more)))
+    for table in (first, texts, near, more):
+        forget(table)
+    return out
+
+
+def keep_first(documents: DataFrame, similarity: float = SIMILARITY, k: int = K, chunk: int = WIDE_CHUNK) -> DataFrame:
+    """One document of each group of texts linked by the similarity, with all its columns.
+
+    The row of the least doc_id stays, then of the least hash, and one with a null doc_id only where a group has no other.
+    Rows that repeat id and text are one row; rows that repeat an id with different texts are different documents.
+    """
+    doc_id = F.col("doc_id").cast("long")
+    packed = F.struct("*").alias("row")  # so that no column's name can clash
+    keyed = documents.select(packed, doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("h1"), F.xxhash64("text", doc_id, F.lit(1)).alias("h2"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "h1", "h2")).alias("first")
+    marked = _marked(keyed, k).groupBy("s1", "s2").agg(first, *[F.any_value(c).alias(c) for c in ("size", "fp", "other")])
+    nodes = written(marked.select(F.monotonically_increasing_id().alias("node"), "first", "size", "fp", "other"))
+
+    def texts_of(some: DataFrame) -> DataFrame:
+        wanted = some.join(nodes, "node").select("node", "first.h1", "first.h2")
+        return keyed.select("h1", "h2", F.col("row.text").alias("text")).join(wanted, ["h1", "h2"]).dropDuplicates(["node"]).select("node", "text")
+
+    groups = nodes.join(similar_groups(nodes.select("node", "fp", "other", "size"), texts_of, similarity, chunk), "node", "left")
+    kept = checkpointed(groups.groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("first").alias("first")).select("first.h1", "first.h2"))
+    forget(nodes)
+    rows = keyed.groupBy("h1", "h2").agg(F.any_value("row").alias("row"))  # combined before they move
+    return rows.join(kept, ["h1", "h2"], "left_semi").select("row.*")
