@@ -4,9 +4,11 @@ A word's emission scores are sums of learned weights of its affixes, its charact
 itself), hashed into BUCKETS; transitions between the labels of neighbouring words are learned with them, by stochastic
 gradient ascent on the chains' likelihood. Training chains are cut from labelled documents, and further chains splice pieces
 of documents of different labels, so that switches inside a text are learned too. Words are labelled by forward-backward over
-chains of at most CHAIN words; a document's language is the one with the most posterior mass over its words with letters.
+the whole text; long texts are taken in blocks of CHAIN words, whose products of transitions and emissions join them exactly.
+A document's language is the one with the most posterior mass over its words with letters.
 
-Training takes a bounded sample: about PER_LABEL rows of each label. Prediction covers whole texts of all rows.
+Training takes a bounded sample: about PER_LABEL rows of each label, in chains of at most CHAIN words. Prediction covers whole
+texts of all rows and all characters of every word, so a text without spaces is one word with many n-grams.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; if no row may be learned from, all are ``und``;
 repeated rows come back repeated; an empty table gives no rows. Other columns are ignored.
@@ -33,16 +35,15 @@ UNDETERMINED = "und"
 
 
 STRIP = ".,;:!?|\"'()[]{}<>*#$%&_-+=/\\~`0123456789"
-LONGEST = 40
 
 
 def packed_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Flat buckets of all words in order, and how many each word has.
 
     A word's features are its lexicon entry, its affixes of 1 to 4 letters and its n-grams of 2 and 3 characters, ends
-    marked; all of its first LONGEST characters without outer punctuation and digits. A word without a letter has none.
+    marked; all without outer punctuation and digits. A word without a letter has none.
     """
-    cores = [w.strip(STRIP).lower()[:LONGEST] for w in words]
+    cores = [w.strip(STRIP).lower() for w in words]
     at = np.array([i for i, c in enumerate(cores) if c.isalpha() or any(map(str.isalpha, c))], np.int64)
     sizes = np.zeros(len(words), np.int64)
     if not len(at):
@@ -72,7 +73,7 @@ def packed_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             for j in range(k):
                 h = h * prime + codes[first + j]
             found.append((bucket(h, kind), has))
-    powers = np.cumprod(np.r_[np.uint64(1), np.full(LONGEST + 2, prime)])
+    powers = np.cumprod(np.r_[np.uint64(1), np.full(length.max() + 1, prime)])
     place = np.arange(len(codes)) - np.repeat(begin, length + 2)
     found.append((bucket(np.add.reduceat(codes * powers[place], begin), 30), np.arange(len(at))))
     owners = np.concatenate([o for _, o in found])
@@ -98,16 +99,12 @@ class Model:
         return out
 
 
-def chains(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size of each chain: every document is cut after each CHAIN words."""
-    pieces = -(-lengths // CHAIN)
-    first = np.repeat(np.cumsum(lengths) - lengths, pieces)
-    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    return first + nth * CHAIN, np.minimum(CHAIN, np.repeat(lengths, pieces) - nth * CHAIN)
+def forward_backward(scores: np.ndarray, start: np.ndarray, size: np.ndarray, switch: np.ndarray, enter=None, leave=None) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors of each word's labels, and the expected count of each switch inside chains (start, size).
 
-
-def forward_backward(scores: np.ndarray, start: np.ndarray, size: np.ndarray, switch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Posteriors of each word's labels, and the expected count of each switch."""
+    enter has a row for each chain: the forward message of the word before it, zeros where there is none; leave the backward
+    message of what comes after its last word.
+    """
     order = np.argsort(-size, kind="stable")
     start, size = start[order], size[order]
     labels, move = scores.shape[1], np.exp(switch - switch.max())
@@ -117,17 +114,24 @@ def forward_backward(scores: np.ndarray, start: np.ndarray, size: np.ndarray, sw
     active = [int(np.searchsorted(-size, -t, side="left")) for t in range(steps + 1)]  # chains longer than t
     for t in range(steps):
         at = start[: active[t]] + t
-        a = emit[at] if t == 0 else (alpha[at - 1] @ move) * emit[at]
+        if t:
+            a = (alpha[at - 1] @ move) * emit[at]
+        elif enter is None:
+            a = emit[at]
+        else:
+            before = enter[order][: active[t]]
+            a = np.where(before.sum(axis=1, keepdims=True) > 0, before @ move, 1) * emit[at]
         alpha[at] = a / a.sum(axis=1, keepdims=True)
     beta = np.empty((0, labels))
     for t in reversed(range(steps)):
         n = active[t]
         at = start[:n] + t
-        here = np.ones((n, labels))
+        here = np.ones((n, labels)) if leave is None else leave[order][:n].copy()
         if len(beta):
             after = beta * emit[at[: len(beta)] + 1]
-            joint = alpha[at[: len(beta)]][:, :, None] * move * after[:, None, :]
-            pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            if leave is None:
+                joint = alpha[at[: len(beta)]][:, :, None] * move * after[:, None, :]
+                pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
             here[: len(beta)] = after @ move.T
         here /= here.sum(axis=1, keepdims=True)
         p = alpha[at] * here
@@ -136,6 +140,43 @@ def forward_backward(scores: np.ndarray, start: np.ndarray, size: np.ndarray, sw
     return post, pairs
 
 
+def posteriors(scores: np.ndarray, lengths: np.ndarray, switch: np.ndarray, chain: int = CHAIN) -> np.ndarray:
+    """Posteriors of each word's labels, every text of lengths one chain.
+
+    Texts over chain words are cut into blocks. The product of a block's transitions and emissions carries forward messages
+    across it one way and backward messages the other, so blocks know what lies around them, and run side by side.
+    """
+    lengths = lengths[lengths > 0]
+    blocks = -(-lengths // chain)
+    nth = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    start = np.repeat(np.cumsum(lengths) - lengths, blocks) + nth * chain
+    size = np.minimum(chain, np.repeat(lengths, blocks) - nth * chain)
+    if not len(blocks) or blocks.max() == 1:
+        return forward_backward(scores, start, size, switch)[0]
+    labels, move = scores.shape[1], np.exp(switch - switch.max())
+    across = np.repeat(np.eye(labels)[None], len(size), 0)
+    part_of_long = np.repeat(blocks, blocks) > 1
+    for t in range(chain):
+        at = np.flatnonzero(part_of_long & (size > t))
+        word = scores[start[at] + t]
+        m = across[at] @ move
+        if t == 0:
+            m[nth[at] == 0] = np.eye(labels)
+        m *= np.exp(word - word.max(axis=1, keepdims=True))[:, None, :]
+        across[at] = m / m.max(axis=(1, 2), keepdims=True)
+    enter, leave = np.zeros((len(size), labels)), np.ones((len(size), labels))
+    first = np.cumsum(blocks) - blocks
+    for b in range(1, int(blocks.max())):
+        at = (first + b)[blocks > b]
+        message = np.where(nth[at - 1, None] > 0, enter[at - 1], 1)[:, None, :] @ across[at - 1]
+        enter[at] = message[:, 0] / message[:, 0].sum(axis=1, keepdims=True)
+    for b in range(int(blocks.max()) - 1, 0, -1):
+        at = (first + b)[blocks > b]
+        message = (across[at] @ leave[at][:, :, None])[:, :, 0]
+        leave[at - 1] = message / message.sum(axis=1, keepdims=True)
+    return forward_backward(scores, start, size, switch, enter, leave)[0]
+
+
 def train(sample: list[tuple[str, str]], epochs: int = 3, rate: float = 0.4, seed: int = 7) -> Model | None:
     """Learn from (text, label) rows; None if there are none with words."""
     rows = [(t.split(), y) for t, y in sample]
@@ -197,8 +238,7 @@ def label_texts(model: Model, table: WordTable, texts: list[str | None]) -> list
     split = [(t or "").split() for t in texts]
     lengths = np.array([len(w) for w in split])
     rows = table([w for words in split for w in words])
-    start, size = chains(lengths)
-    post, _ = forward_backward(rows[:, :-1].astype(np.float64), start, size, model.switch)
+    post = posteriors(rows[:, :-1].astype(np.float64), lengths, model.switch)
     lettered = rows[:, -1] > 0
     mass = np.zeros((len(texts), len(model.labels)))
     full = np.flatnonzero(lengths)

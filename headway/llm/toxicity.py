@@ -11,8 +11,8 @@ Training takes a bounded sample: about PER_LABEL rows of each label, weighted to
 cover whole texts of all rows.
 
 Defined cases: null and empty texts have all features zero and the score that goes with them; if only one label or none may
-be learned from, every score is the weighted share of toxic rows (0.0 without rows); a document with several label rows
-is learned from each; repeated rows come back repeated; an empty table gives no rows. Other columns are ignored.
+be learned from, every score is the weighted share of toxic rows (0.0 without rows); labels other than 0 and 1 are none; a
+document with several label rows is learned from each; words over LONGEST characters are read in pieces of that many; repeated rows come back repeated; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,19 +38,28 @@ SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine i
 LETTERS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "*": None, ".": None, "-": None, "_": None, "+": None, "#": None})
 MARKS = ".,;:!?|\"'()[]{}<>*#$%&_-+=/\\~`"
 FEATURES = 12
+LONGEST = 40
 
 
 def keys_of(core: str) -> list[str]:
     return [f"={core}"] + [core[:k] for k in range(3, min(9, len(core)))] if core else []
 
 
+def tokens_of(text: str | None) -> list[str]:
+    """All of a text, in words of LONGEST characters at most: longer ones are several."""
+    words = (text or "").split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+
+
 def core_of(token: str) -> tuple[str, bool]:
     """A token's letters in lower case, and whether they were mixed with other characters."""
     core = token.strip(MARKS).lower()
     if not core or core.isalpha():
-        return core[:40], False
+        return core, False
     plain = core.translate(LETTERS)
-    return plain[:40], plain.isalpha() and sum(map(str.isalpha, core)) > 0 and len(plain) > 2
+    return plain, plain.isalpha() and sum(map(str.isalpha, core)) > 0 and len(plain) > 2
 
 
 @dataclass
@@ -83,7 +92,7 @@ def learn_lexicon(toxic: Counter, clean: Counter, n_toxic: float, n_clean: float
 
 
 def features(table: WordTable, texts: list[str | None]) -> np.ndarray:
-    split = [(t or "").split() for t in texts]
+    split = [tokens_of(t) for t in texts]
     size = np.array([len(w) for w in split], np.int64)
     out = np.zeros((len(texts), FEATURES))
     full = np.flatnonzero(size)
@@ -210,7 +219,7 @@ def train(sample: list[tuple[str, int]], counts: dict) -> Model:
     cache: dict = {}
     for (text, _), y, k in zip(sample, labels.tolist(), fold.tolist()):
         keys: set = set()
-        for t in set((text or "").split()):
+        for t in set(tokens_of(text)):
             if t not in cache:
                 cache[t] = keys_of(core_of(t)[0])
             keys.update(cache[t])
@@ -237,7 +246,7 @@ def train(sample: list[tuple[str, int]], counts: dict) -> Model:
 
 def learn(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
     """From labels.toxic of documents that aren't held out."""
-    known = labels.filter("toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    known = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     chosen, counts = labelled_sample(known, "toxic", per_label)
     sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # a bounded sample: texts don't move for it
     return train(collected(sample, "toxic"), counts)

@@ -74,6 +74,40 @@ def test_forward_backward_against_enumeration():
     assert np.allclose(post, want_post) and np.allclose(pairs, want_pairs)
 
 
+def test_blocks_of_a_long_text_are_one_chain():
+    rng = np.random.default_rng(1)
+    lengths = np.array([1, 0, 200, 7, 64, 33, 20, 8])
+    scores, switch = 2 * rng.normal(size=(lengths.sum(), 4)), rng.normal(size=(4, 4))
+    start = np.cumsum(lengths) - lengths
+    whole, _ = langid.forward_backward(scores, start[lengths > 0], lengths[lengths > 0], switch)
+    for chain in (1, 2, 7, 8, 64, 500):
+        assert np.allclose(langid.posteriors(scores, lengths, switch, chain), whole)
+    assert not np.allclose(langid.forward_backward(scores, np.arange(0, lengths.sum(), 8), np.minimum(8, lengths.sum() - np.arange(0, lengths.sum(), 8)), switch)[0], whole)
+
+
+def test_every_character_of_a_word_counts():
+    """Words that agree in their first 100 characters, a text without spaces, and letters only at the far end."""
+    a, b = "x" * 100 + "der" * 500, "x" * 100 + "the" * 500
+    (flat, sizes), (flat_a, _), (flat_b, _) = langid.packed_features([a, b, "1" * 60 + "a" + "1" * 60, "12"]), langid.packed_features([a]), langid.packed_features([b])
+    assert flat_a.tolist() != flat_b.tolist() and flat.tolist()[: len(flat_a)] == flat_a.tolist()
+    assert sizes[2] > 0 and sizes[3] == 0
+    rng = random.Random(5)
+    model = langid.train([(text(y, 80, rng), y) for y in VOCABULARY for _ in range(40)])
+    unspaced = ["und" * 15 + "".join(rng.choice(VOCABULARY["de"]) for _ in range(400)), "und" * 15 + "".join(rng.choice(VOCABULARY["en"]) for _ in range(400))]
+    assert [r[0] for r in langid.label_texts(model, langid.WordTable(model.emissions), unspaced)] == ["de", "en"]
+    assert [toxicity.tokens_of(t) for t in (None, "a b", "c" * 90)] == [[], ["a", "b"], ["c" * 40, "c" * 40, "c" * 10]]
+
+
+def test_rare_labels_are_learned(spark):
+    words = {f"l{i}": " ".join(f"w{i}x{j}" for j in range(5)) for i in range(300)}
+    rows = [(10 * i + j, words[y], y) for i, y in enumerate(words) for j in range(3)]
+    from headway.llm import words as samples
+
+    sample, counts = samples.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "lang", 5)
+    learned = {y for i, _, y in rows if not held_out(i)}
+    assert {r.lang for r in sample.collect()} == learned and set(counts) == learned and len(learned) > 256
+
+
 def toxic_rows(spark):
     rng = random.Random(3)
     docs, labels = [], []
@@ -102,6 +136,48 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), labels).count() == 0
 
 
+def plain_features(lexicon, text):
+    """The features of one text, word by word."""
+    tokens = toxicity.tokens_of(text)
+    if not tokens:
+        return [0.0] * toxicity.FEATURES
+    cores = [toxicity.core_of(t) for t in tokens]
+    weight = [max((lexicon.weights.get(k, 0.0) for k in toxicity.keys_of(c)), default=0.0) for c, _ in cores]
+    hit, n = [w > 0 for w in weight], len(tokens)
+    second = [c in toxicity.SECOND_PERSON for c, _ in cores]
+    close = [any(second[max(0, i - toxicity.NEAR) : i + toxicity.NEAR + 1]) for i in range(n)]
+    capital = [len(c) > 1 and t.isupper() for t, (c, _) in zip(tokens, cores)]
+    marks = sum(t.count("!") + t.count("?") for t in tokens)
+    mixed = [m for _, m in cores]
+    densest = max(sum(hit[i : i + toxicity.WINDOW]) for i in range(n))
+    return [sum(hit) / n, np.log1p(sum(hit)), sum(weight) / n, max(weight), densest, sum(h and c for h, c in zip(hit, close)) / n, sum(second) / n, sum(capital) / n, marks / n,
+            sum(mixed) / n, sum(m and h for m, h in zip(mixed, hit)) / n, np.log1p(n)]
+
+
+def plain_score(model, text):
+    x, raw = plain_features(model.lexicon, text), model.trees.base
+    for split, at, leaf in zip(model.trees.split, model.trees.at, model.trees.leaf):
+        node = 0
+        while node < len(split):
+            node = 2 * node + (2 if x[split[node]] > at[node] else 1)
+        raw += leaf[node - len(split)]
+    score, share = model.knots
+    k = next((i for i, s in enumerate(score) if s >= raw), len(score))
+    if k in (0, len(score)):
+        calibrated = share[min(k, len(score) - 1)]
+    else:
+        calibrated = share[k - 1] + (share[k] - share[k - 1]) * (raw - score[k - 1]) / (score[k] - score[k - 1])
+    return 0.999 * calibrated + 0.001 / (1 + np.exp(-raw))
+
+
+def test_toxicity_against_brute_force(spark):
+    docs, labels = toxic_rows(spark)
+    labels = labels.unionByName(spark.createDataFrame([(7, 0, 2), (8, 0, -1)], "doc_id long, quality int, toxic int"))  # no labels
+    model, texts = toxicity.learn(docs, labels), {r.doc_id: r.text for r in docs.collect()}
+    found = {r.doc_id: r.score for r in toxicity.score(docs, labels).collect()}
+    assert found.keys() == texts.keys() and np.allclose([found[i] for i in texts], [plain_score(model, t) for t in texts.values()], atol=1e-5)
+
+
 def test_held_out_labels_are_not_used(spark):
     docs, labels = toxic_rows(spark)
     flipped = labels.selectExpr("doc_id", "quality", "case when crc32(cast(cast(doc_id as string) as binary)) % 5 = 0 then 1 - toxic else toxic end as toxic")
