@@ -7,11 +7,11 @@ gives the places that match, checked word by word; the longest match whose words
 and is marked, what is left of overlapping ones is tried again, until no match of MIN_MATCH words remains. An item's coverage
 is the share of its words under tiles, so passages in another order count in full.
 
-The benchmark goes to the executors in blocks of at most BLOCK_CHARS characters, one pass over the documents for each; a
-usual benchmark is one block. Documents are never shuffled, so no group of copies meets in one task.
+The benchmark goes to the executors in blocks of at most BLOCK_CHARS characters (and one item), one pass over the documents
+for each; a usual benchmark is one block. Documents are never shuffled, so no group of copies meets in one task.
 
-Defined cases: null and empty texts match nothing; items under MIN_MATCH words can't be told from chance and match nothing;
-equal items each get their rows; repeated rows come back repeated; empty tables give no rows. Other columns are ignored.
+Defined cases: null and empty texts match nothing; an item under MIN_MATCH words is a seed and a tile as a whole, so it counts
+where all its words stand in a row, and only there; items without words match nothing; equal items each get their rows; repeated rows come back repeated; empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,11 +45,14 @@ def rolling(ids: np.ndarray, m: int) -> np.ndarray:
 def tiles(item: np.ndarray, text: np.ndarray, m: int = MIN_MATCH) -> list[tuple[int, int, int]]:
     """Greedy tiles (start in item, start in text, words): longest first, then leftmost in the item, then in the text.
 
-    Ids of 0 match nothing.
+    Ids of 0 match nothing. Memory is linear in the words: where the places that match are few, they are joined to longer
+    matches along diagonals; in repetitive texts, where they are many, lengths are tried from the longest down.
     """
     a, b = rolling(item, m), rolling(text, m)
     order = np.argsort(a, kind="stable")
     lo, hi = np.searchsorted(a[order], b, "left"), np.searchsorted(a[order], b, "right")
+    if (hi - lo).sum() > 8 * (len(item) + len(text)):
+        return _tiles_by_length(item, text, m)
     at = np.flatnonzero(hi > lo)
     j = np.repeat(at, (hi - lo)[at])
     i = order[np.repeat(lo[at] - np.cumsum((hi - lo)[at]) + (hi - lo)[at], (hi - lo)[at]) + np.arange(len(j))]
@@ -80,6 +83,65 @@ def tiles(item: np.ndarray, text: np.ndarray, m: int = MIN_MATCH) -> list[tuple[
     return out
 
 
+class _Free:
+    """The words of one side that no tile has, and hashes of their runs of any length."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids, self.used = ids, ids == 0
+        self.power = np.cumprod(np.r_[np.uint64(1), np.full(len(ids), RADIX)])
+        inverse = np.uint64(pow(int(RADIX), -1, 1 << 64))
+        down = np.cumprod(np.r_[np.uint64(1), np.full(len(ids), inverse)])[:-1]
+        self.upto = np.r_[np.uint64(0), np.cumsum((ids.astype(np.uint64) + np.uint64(1)) * RADIX * down)]
+
+    def runs(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(starts of free runs of n words, their hashes)."""
+        before = np.r_[0, np.cumsum(self.used)]
+        at = np.flatnonzero(before[n:] == before[: len(before) - n])
+        return at, (self.upto[at + n] - self.upto[at]) * self.power[at]
+
+
+def _tiles_by_length(item: np.ndarray, text: np.ndarray, m: int) -> list[tuple[int, int, int]]:
+    """The same tiles: the longest free match is found by bisection over its length, then all of that length are taken.
+
+    Marked words stay marked, so each text place is looked at once for a length; a tile of n words takes n of the item, so
+    there are no more lengths than the root of twice its words.
+    """
+    one, two, out = _Free(item), _Free(text), []
+    most = min(len(item), len(text))
+    while most >= m:
+        least, longest = m, most  # the longest match has this range of lengths, if there is one of m
+        while least < longest:
+            n = (least + longest + 1) // 2
+            if np.isin(one.runs(n)[1], two.runs(n)[1]).any():
+                least = n
+            else:
+                longest = n - 1
+        n = least
+        (x, h), (y, g) = one.runs(n), two.runs(n)
+        order = np.argsort(g, kind="stable")
+        y, g = y[order], g[order]
+        lo, hi = np.searchsorted(g, h, "left"), np.searchsorted(g, h, "right")
+        hit = hi > lo
+        place: dict = {}
+        for s, a, b in zip(x[hit].tolist(), lo[hit].tolist(), hi[hit].tolist()):
+            if one.used[s : s + n].any():
+                continue
+            p = place.get(a, a)
+            while p < b:
+                t = int(y[p])
+                if two.used[t : t + n].any():
+                    p += 1  # never free again
+                    continue
+                if (item[s : s + n] == text[t : t + n]).all():
+                    out.append((s, t, n))
+                    one.used[s : s + n] = two.used[t : t + n] = True
+                    p += 1
+                break
+            place[a] = p
+        most = n - 1
+    return out
+
+
 class Benchmark:
     """Items as ids of their words, and which items have each seed."""
 
@@ -87,7 +149,12 @@ class Benchmark:
         self.m, self.vocabulary = m, {}
         split = [(i, WORD.findall((t or "").lower())) for i, t in items]
         give = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
-        self.items = [(i, np.array([give(w) for w in words], np.int64)) for i, words in split if len(words) >= m]
+        every = [(i, np.array([give(w) for w in words], np.int64)) for i, words in split if words]
+        self.items = [x for x in every if len(x[1]) >= m]
+        self.short: dict = {}  # by their words
+        for i, ids in every:
+            if len(ids) < m:
+                self.short.setdefault(len(ids), {}).setdefault(tuple(ids.tolist()), []).append(i)
         hashes = [rolling(ids, m) for _, ids in self.items]
         flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
@@ -99,6 +166,19 @@ class Benchmark:
         get = self.vocabulary.get
         words = WORD.findall(text.lower()) if text else []
         ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+        return self._short(ids) + self._long(ids)
+
+    def _short(self, ids: np.ndarray) -> list[tuple]:
+        out = []
+        for n, items in self.short.items():
+            run, found = ids.tolist(), {}
+            for p, words in enumerate(zip(*(run[k:] for k in range(n)))):
+                if words in items:
+                    found.setdefault(words, p)
+            out += [(i, n, n, [(0, p, n)]) for words, p in found.items() for i in items[words]]
+        return out
+
+    def _long(self, ids: np.ndarray) -> list[tuple]:
         if len(ids) < self.m or not len(self.seeds):
             return []
         gaps = np.cumsum(ids == 0)
@@ -133,12 +213,14 @@ TILES = "array<struct<item_word: int, doc_word: int, words: int>>"
 
 def _blocks(benchmark: DataFrame, block_chars: int):
     """The items, broadcast in blocks of bounded size."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-2 * chars // block_chars) if chars > block_chars else 1
-    for b in range(blocks):
-        mine = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        yield benchmark.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in mine.collect()])
+    share, part, size = benchmark.sparkSession.sparkContext.broadcast, [], 0
+    for r in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
+        if part and size + len(r[1] or "") > block_chars:
+            yield share(part)
+            part, size = [], 0
+        part.append((r[0], r[1]))
+        size += len(r[1] or "")
+    yield share(part)
 
 
 def overlaps(documents: DataFrame, benchmark: DataFrame, m: int = MIN_MATCH, block_chars: int = BLOCK_CHARS) -> DataFrame:

@@ -32,7 +32,43 @@ def test_tiles_against_the_definition():
         item = np.array([rng.randrange(1, size + 1) for _ in range(rng.randrange(1, 25))])
         text = np.array([rng.randrange(0, size + 1) for _ in range(rng.randrange(1, 40))])
         m = rng.choice([2, 3])
-        assert decontam.tiles(item, text, m) == brute_tiles(item.tolist(), text.tolist(), m)
+        assert decontam.tiles(item, text, m) == decontam._tiles_by_length(item, text, m) == brute_tiles(item.tolist(), text.tolist(), m)
+
+
+def test_repetitive_texts_take_linear_memory():
+    import tracemalloc
+
+    ones = lambda n: np.ones(n, np.int64)
+    tracemalloc.start()
+    assert decontam.tiles(ones(1500), ones(20000)) == [(0, 0, 1500)]
+    period = np.tile(np.arange(1, 8), 300)
+    broken = np.insert(np.tile(np.arange(1, 8), 3000), np.arange(50, 21000, 61), 0)
+    found = decontam.tiles(period, broken)
+    assert all((period[x : x + n] == broken[y : y + n]).all() for x, y, n in found) and sum(n for *_, n in found) > 2000
+    assert tracemalloc.get_traced_memory()[1] < 50e6
+    tracemalloc.stop()
+
+
+def brute_coverage(item, text):
+    """The share of an item's words under tiles of 5 words."""
+    split = lambda t: decontam.WORD.findall((t or "").lower())
+    known: dict = {}
+    a, b = ([known.setdefault(w, len(known) + 1) for w in split(t)] for t in (item, text))
+    return sum(n for *_, n in brute_tiles(a, b, 5)) / len(a)
+
+
+def test_coverage_and_keep_clean_against_brute_force(spark, documents):
+    rng = random.Random(9)
+    items = [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(6, 16))) for _ in range(6)]
+    rows = []
+    for i in range(40):
+        cut = [t.split()[rng.randrange(4) :][: rng.randrange(3, 14)] for t in rng.sample(items, 2)]
+        rows.append((i, " ".join(sum(cut, [rng.choice("xyz")]) + [rng.choice("abcxyz") for _ in range(8)])))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(i, k): c for i, t in rows for k, item in enumerate(items) if (c := brute_coverage(item, t)) > 0}
+    assert {(r.doc_id, r.item_id): r.coverage for r in decontam.overlaps(documents(rows), bench).collect()} == want
+    dirty = {i for (i, _), c in want.items() if c >= 0.5}
+    assert {r.doc_id for r in decontam.keep_clean(documents(rows), bench).collect()} == set(range(40)) - dirty and 0 < len(dirty) < 40
 
 
 def test_documents(spark, documents):
@@ -53,5 +89,10 @@ def test_documents(spark, documents):
     assert [(r.item_id, r.matched, r.tiles[0].asDict()) for r in weak] == [(2, 9, {"item_word": 0, "doc_word": 0, "words": 9})]
     blocks = decontam.overlaps(documents(rows), bench, block_chars=100).filter("coverage >= 0.5")
     assert sorted((r.doc_id, r.item_id, r.matched, r.item_words) for r in blocks.collect()) == found
+    tiny = spark.createDataFrame([(1, "Quite so"), (2, "so"), (3, "so"), (4, "..."), (5, "not here")], "item_id long, text string")
+    texts = documents([(1, "It is quite, so; quite so."), (2, "so quite"), (3, "quiteso"), (4, "quite so")])
+    assert sorted((r.doc_id, r.item_id, r.coverage, r.tiles[0].doc_word) for r in decontam.contaminated(texts, tiny).collect()) == [
+        (1, 1, 1.0, 2), (1, 2, 1.0, 3), (1, 3, 1.0, 3), (2, 2, 1.0, 0), (2, 3, 1.0, 0), (4, 1, 1.0, 0), (4, 2, 1.0, 1), (4, 3, 1.0, 1)]
+    assert [r.doc_id for r in decontam.keep_clean(texts, tiny).collect()] == [3]
     assert decontam.overlaps(documents([]), bench).count() == 0
     assert decontam.overlaps(documents(rows), bench.limit(0)).count() == 0
