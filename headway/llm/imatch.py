@@ -3,12 +3,14 @@
 A text's terms are its distinct lower-case words of letters and digits, each known by its XXH64. The lexicon keeps the terms
 whose inverse document frequency lies in a band: no more than COMMON of the documents have them, and at least so many that
 no more than LEXICON terms can (the mean number of distinct terms of a document, divided by LEXICON, is the least share of
-documents). So the lexicon has a proven bound at every size. A fingerprint has one part for the lexicon and one for each of
-SUBSETS random subsets of it: a hash of the text's sorted distinct terms in that subset. Subsets come in groups of four; a
-group's subsets keep one term in 16, 32, 64, ... 2048, so short and long texts both have parts that an edit leaves alone.
+documents). So the lexicon has a proven bound at every size. A fingerprint has a part for the lexicon and one for each random
+subset of it: a hash of the text's sorted distinct terms in that subset. Subsets come in scales; one of scale s keeps a term
+in 2 ** SCALES[s], and a scale has CELLS subsets at most. A text takes the scales at which a subset has DENSE of its terms or
+fewer on average: denser parts change with every edit. So texts of any length have parts that an edit leaves alone.
 
-The likeness of two fingerprints is the share of equal parts among those where either has terms. Texts without any term of
-the lexicon use all their terms; texts without any term have no parts, and are like each other only.
+The likeness of two fingerprints is the share of equal parts among those where either has terms, over the scales that both
+take. Texts without any term of the lexicon use all their terms; texts without any term have no parts, and are like each other
+only.
 
 Defined cases: null text is empty; repeated rows and equal ids are ordered by a hash of their text; a null id comes last; an
 only row's next row is itself; an empty table gives no rows. Other columns are ignored.
@@ -19,14 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import checkpointed
+from headway.llm.common import checkpointed, forget, written
 
-SUBSETS = 32
 LEXICON = 32_768
-COMMON = 0.3
+COMMON = 0.05
 SLOTS = 1 << 13
-CELLS = 1 << 16
-EMPTY = 0
+SCALES = (4, 6, 8, 10, 12, 14)
+CELLS = 64
+DENSE = 2
+#: Bits of a part that hold its hash; those above say which part it is.
+HASH_BITS = 44
 
 
 def terms(text: Column) -> Column:
@@ -37,29 +41,36 @@ def terms(text: Column) -> Column:
 
 def lexicon(texts: DataFrame) -> DataFrame:
     """One row (slots): the terms of the band, dealt into SLOTS lists by their last bits."""
-    each = texts.select(terms(F.col("text")).alias("terms"))
-    size = each.agg(F.count("*").alias("documents"), F.sum(F.size("terms")).alias("pairs"))
-    frequency = each.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    totals = size.first()
-    documents, pairs = totals["documents"], totals["pairs"] or 0
+    frequency = written(texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n")))
+    documents, pairs = texts.count(), frequency.agg(F.sum("n")).first()[0] or 0
     least = max(2.0, pairs / LEXICON)  # the sum of all n is pairs, so no more than LEXICON terms have it
     kept = frequency.filter((F.col("n") >= least) & (F.col("n") <= max(2.0, COMMON * documents))).select("term", F.pmod("term", F.lit(SLOTS)).alias("slot"))
     filled = kept.groupBy("slot").agg(F.sort_array(F.collect_list("term")).alias("terms"))
     every = texts.sparkSession.range(SLOTS).withColumnRenamed("id", "slot").join(filled, "slot", "left")
     rows = F.array_sort(F.collect_list(F.struct("slot", F.coalesce("terms", F.array().cast("array<bigint>")).alias("terms"))))
-    return every.agg(F.transform(rows, lambda r: r["terms"]).alias("slots"))
+    out = checkpointed(every.agg(F.transform(rows, lambda r: r["terms"]).alias("slots")))
+    forget(frequency)
+    return out
 
 
 def parts(known: Column) -> Column:
-    """A hash for each subset; EMPTY where the text has no term of it."""
+    """Struct (first, parts): the first scale that the text takes, and its parts, each a subset and a hash in one long."""
 
-    def part(j: int) -> Column:
-        bits, at, cell = 4 + j // 4, 8 + 6 * (j // 4), j % 4
-        mine = F.filter(known, lambda t: F.shiftrightunsigned(t, at).bitwiseAND(F.lit((1 << bits) - 1)) == cell)
-        return F.when(F.size(mine) > 0, F.xxhash64(mine)).otherwise(F.lit(EMPTY).cast("long"))
+    def part(which: Column, mine: Column) -> Column:
+        return F.shiftleft(which.cast("long"), HASH_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(mine), 64 - HASH_BITS))
 
-    whole = F.when(F.size(known) > 0, F.xxhash64(known)).otherwise(F.lit(EMPTY).cast("long"))
-    return F.array(whole, *[part(j) for j in range(SUBSETS)])
+    def of_scale(s: int, at: int, bits: int) -> Column:
+        cell = lambda t: F.shiftrightunsigned(t, at).bitwiseAND(F.lit((1 << bits) - 1))
+        mine = F.filter(known, lambda t: cell(t) < CELLS) if 1 << bits > CELLS else known
+        cells = F.array_distinct(F.transform(mine, cell))
+        return F.transform(cells, lambda c: part(c + ((s + 1) << 14), F.filter(mine, lambda t: cell(t) == c)))
+
+    found, at = [F.when(F.size(known) > 0, F.array(part(F.lit(0), known))).otherwise(F.array().cast("array<long>"))], 0
+    for s, bits in enumerate(SCALES):
+        found.append(F.when(F.size(known) <= DENSE << bits, of_scale(s, at, bits)).otherwise(F.array().cast("array<long>")))
+        at += bits
+    first = sum(F.when(F.size(known) > DENSE << bits, 1).otherwise(0) for bits in SCALES)
+    return F.struct(first.alias("first"), F.concat(*found).alias("parts"))
 
 
 def with_parts(texts: DataFrame, text: str, slots: Column, out: str) -> DataFrame:
@@ -77,47 +88,54 @@ def with_parts(texts: DataFrame, text: str, slots: Column, out: str) -> DataFram
 
 
 def likeness(a: Column, b: Column) -> Column:
-    both = F.zip_with(a, b, lambda x, y: F.when((x != EMPTY) | (y != EMPTY), (x == y).cast("int")))
-    said = F.array_compact(both)
-    share = F.aggregate(said, F.lit(0), lambda s, x: s + x) / F.size(said)
-    return F.when(F.size(said) > 0, share).otherwise(1.0)
+    first = F.greatest(a["first"], b["first"])
+    which = lambda p: F.shiftrightunsigned(p, HASH_BITS)
+    mine = lambda x: F.filter(x["parts"], lambda p: (which(p) == 0) | (which(p) >= F.shiftleft((first + 1).cast("long"), 14)))
+    said = F.size(F.array_union(F.transform(mine(a), which), F.transform(mine(b), which)))
+    return F.when(said > 0, F.size(F.array_intersect(mine(a), mine(b))) / said).otherwise(1.0)
 
 
 def shown(p: Column) -> Column:
-    return F.array_join(F.transform(p, lambda x: F.when(x == EMPTY, "-").otherwise(F.lower(F.hex(x)))), ".")
+    return F.concat(p["first"].cast("string"), F.lit(":"), F.array_join(F.transform(F.array_sort(p["parts"]), lambda x: F.lower(F.hex(x))), "."))
+
+
+def _bounds(documents: DataFrame, n: int) -> Column:
+    """n - 1 values of doc_id that part the rows into about equal counts, as a scalar array."""
+    shares = ", ".join(f"{i / n:.9f}D" for i in range(1, max(2, n)))
+    return checkpointed(documents.agg(F.expr(f"percentile_approx(cast(doc_id as bigint), array({shares}), {20 * n}) as bounds"))).scalar()
 
 
-def _buckets(documents: DataFrame, n: int) -> tuple[DataFrame, Column]:
-    """cell -> bucket, in the order of doc_id, of about equal counts; and the cell of a doc_id."""
-    least, most = documents.agg(F.min("doc_id"), F.max("doc_id")).first()
-    least, width = least or 0, max(1, (most or 0) - (least or 0) + 1)
-    cell = F.coalesce(F.least(F.lit(CELLS), 1 + F.floor((F.col("doc_id").cast("double") - float(least)) / float(width) * CELLS)), F.lit(0)).cast("int")
-    counts = documents.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"))  # CELLS + 1 rows at most
-    upto = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(F.lit(0))
-    bucket = F.floor(F.coalesce(F.sum("n").over(upto), F.lit(0)) * n / F.sum("n").over(everything)).cast("int")
-    return counts.select("cell", bucket.alias("bucket")), cell
+def _below(bounds: Column, value: Column) -> Column:
+    """How many of the sorted bounds are below a value, by bisection."""
+    steps = F.array(*[F.lit(1 << k) for k in range(20, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda p, s: F.when((p + s <= F.size(bounds)) & (F.get(bounds, p + s - 1) < value), p + s).otherwise(p))
 
 
-def with_next(documents: DataFrame, carried: list[str]) -> DataFrame:
-    """Each row with next_<column> of the row after it by descending doc_id; after the last comes the first.
+def with_next(documents: DataFrame, carried: list[str], prepared=lambda rows: rows) -> DataFrame:
+    """Each row (with tie, a hash) with next_<column> of the row after it by descending doc_id; after the last comes the first.
 
-    Rows are dealt into buckets by doc_id, one exchange; each bucket also gets the row that follows it.
+    Rows are dealt into buckets by doc_id at counted bounds, one exchange; a bucket that holds a single id, or rows without
+    one, is dealt on by tie. Each bucket also gets the row that follows it. prepared adds columns to rows before they move.
     """
-    spark = documents.sparkSession
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # several a partition, so that partitions are of like size
-    cells, cell = _buckets(documents.select("doc_id"), n)
-    cells = checkpointed(cells)
-    dealt = documents.withColumn("cell", cell).join(F.broadcast(cells), "cell").drop("cell")
+    n = 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # several a partition, so that partitions are of like size
+    bounds = _bounds(documents, n)
+    coarse = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + _below(F.col("_bounds"), F.col("doc_id").cast("long")))
+    marked = lambda rows: rows.withColumn("_bounds", bounds).withColumn("coarse", coarse).drop("_bounds")
+    counts = marked(documents.select("doc_id")).groupBy("coarse").agg(F.count("*").alias("n"), F.min("doc_id").eqNullSafe(F.max("doc_id")).alias("single"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    cells = checkpointed(counts.select("coarse", F.when(F.col("single"), F.ceil(F.col("n") * n / total)).otherwise(1).alias("of")))  # n + 1 rows at most
+    place = F.least(F.col("of") - 1, F.floor((F.col("tie") / float(1 << 64) + 0.5) * F.col("of")))
+    bucket = F.shiftleft(F.col("coarse").cast("long"), 32) + place
+    dealt = lambda rows: marked(rows).join(F.broadcast(cells), "coarse").withColumn("bucket", bucket).drop("coarse", "of")
     first = F.max(F.struct("doc_id", "tie")).alias("head")
-    heads = documents.select("doc_id", "tie").withColumn("cell", cell).join(F.broadcast(cells), "cell").groupBy("bucket").agg(first)  # a row for each bucket
+    heads = dealt(documents.select("doc_id", "tie")).groupBy("bucket").agg(first)  # a row for each bucket
     whole = Window.orderBy(F.desc("bucket"))
     top = F.first("head").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     follows = heads.select("bucket", F.coalesce(F.lead("head").over(whole), top).alias("head"))
     follows = checkpointed(follows.select(F.col("bucket").alias("ghost_of"), F.coalesce("head.doc_id", F.lit(0)).alias("d"), F.col("head.doc_id").isNull().alias("n"), F.col("head.tie").alias("t")))
     match = (F.coalesce("doc_id", F.lit(0)) == F.col("d")) & (F.col("doc_id").isNull() == F.col("n")) & (F.col("tie") == F.col("t"))
     ghosts = documents.join(F.broadcast(follows), match).select(*documents.columns, F.col("ghost_of").alias("bucket"), F.lit(True).alias("ghost"))
-    rows = dealt.select(*documents.columns, "bucket", F.lit(False).alias("ghost")).unionByName(ghosts)
+    rows = prepared(dealt(documents).select(*documents.columns, "bucket", F.lit(False).alias("ghost")).unionByName(ghosts))
     order = Window.partitionBy("bucket").orderBy("ghost", F.desc_nulls_last("doc_id"), F.desc("tie"))
     return rows.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in carried]).filter(~F.col("ghost")).drop("bucket", "ghost")
 
@@ -128,11 +146,12 @@ def fingerprint_edits(documents: DataFrame) -> DataFrame:
     The edited text is the text with its last floor(n / 2) code points replaced by the first as many of the next row's.
     """
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    slots = checkpointed(lexicon(texts)).scalar()
-    marked = with_parts(texts.select("doc_id", "text", F.xxhash64("text").alias("tie")), "text", slots, "parts")
+    slots = lexicon(texts).scalar()
+    rows = texts.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.length("text") - half), F.left("next_text", half))
-    made = with_next(marked, ["text", "parts"]).select("doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "parts", "next_parts")
+    near = with_next(rows, ["text", "parts"], lambda rows: with_parts(rows, "text", slots, "parts"))
+    made = near.select("doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "parts", "next_parts")
     found = with_parts(made.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", slots, "edited_parts")
     return found.select(
         "doc_id", "n_chars", "edited_sha256", shown(F.col("parts")).alias("fingerprint"), shown(F.col("edited_parts")).alias("edited_fingerprint"),
