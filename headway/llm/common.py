@@ -55,6 +55,22 @@ def hot_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return spread.unionByName(left.join(F.broadcast(some.select(key)), key, "left_anti").join(right.filter(~hot).drop("n"), key))
 
 
+def shared_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join of left and right, which has one row of any width for each key.
+
+    Rows of left that have a hot key are dealt to shares by their hash, and that key's row of right goes to each share, fewer
+    than HOT_KEYS copies in all. Of left, only the keys are read twice.
+    """
+    counts = checkpointed(left.select(key).groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS))
+    if not counts.limit(1).count():
+        return left.join(right, key)
+    limit = max(HOT_ROWS, left.select(key).count() // HOT_KEYS)
+    of = F.broadcast(counts.filter(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).cast("int").alias("_of")))  # fewer than HOT_KEYS rows
+    dealt = left.join(of, key, "left").withColumn("_share", F.pmod(F.xxhash64(*left.columns), F.coalesce("_of", F.lit(1))).cast("int")).drop("_of")
+    copies = right.join(of, key, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), F.coalesce("_of", F.lit(1)) - 1))).drop("_of")
+    return dealt.join(copies, [key, "_share"]).drop("_share")
+
+
 def held_out(doc_id: Column) -> Column:
     """One fifth of the documents, chosen by their id alone."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -8,11 +8,11 @@ or, where more than HOT suffixes share those, the whole window. A task builds th
 lots: it sorts the suffixes, finds common prefix lengths of neighbours, and reads the internal nodes off as intervals. A node
 of depth d together with the o words that its suffixes share to the left is a repeat of d + o words; nodes with d + o of at
 least WINDOW give the repeated windows. Of a hot prefix, equal windows are one node, and nodes are counted with a map-side
-combine, so no task gathers them.
+combine, so no task gathers them. Grams, nodes and texts that many rows share are joined where those rows are (hot_join).
 
 Equal texts are one text with a count, and text moves once: both joins with texts reuse one exchange.
 
-Defined cases: null texts have no words; texts under WINDOW words keep all; repeated rows are copies of each other; doc_id is
+Defined cases: a gram is as long as the window needs (MASK offsets at most, and no longer than the window); null texts have no words; texts under WINDOW words keep all; repeated rows are copies of each other; doc_id is
 only carried; an empty table gives no rows. Other columns are ignored.
 """
 
@@ -25,14 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import TextSizes, forget, slices, written
+from headway.llm.common import TextSizes, forget, hot_join, shared_join, slices, written
 from headway.llm.words import WordTable
 
 WINDOW = 35
 GRAM = 8
 #: Suffixes of one prefix that a task holds in memory at most, and suffixes of one lot.
-HOT = 200_000
+HOT = 50_000
 LOT = 40_000
+#: A mask has a bit for each offset of a window's start before its anchor.
+MASK = 62
 RADIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -232,12 +234,13 @@ def _hot_windows(candidates: DataFrame, window: int, gram: int) -> DataFrame:
                 yield pa.record_batch([pa.array([h1] * len(starts), pa.int64()), pa.array([h2] * len(starts), pa.int64()), pa.array(starts, pa.int32()), pa.array(digests, pa.binary())], names=["h1", "h2", "pos", "node"])
 
     windows = candidates.mapInArrow(run, "h1 long, h2 long, pos int, node binary")
-    nodes = windows.groupBy("node").count().filter("count > 1").select("node")
-    return windows.join(nodes, "node").select("h1", "h2", "pos", F.lit(1).cast("long").alias("mask"))
+    windows = written(windows)
+    nodes = written(windows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"))
+    return hot_join(windows, nodes, "node").select("h1", "h2", "pos", F.lit(1).cast("long").alias("mask"))
 
 
 def _cut(marked: DataFrame, window: int, verbatim: bool) -> DataFrame:
-    """(h1, h2, text, copies, found) -> h1, h2, n_words, n_removed, kept; verbatim: texts that keep all words as they were."""
+    """(h1, h2, text, copies, found) -> h1, h2, copies, n_words, n_removed, kept; verbatim: texts that keep all words as they were."""
 
     def run(batches):
         for batch in batches:
@@ -260,18 +263,19 @@ def _cut(marked: DataFrame, window: int, verbatim: bool) -> DataFrame:
                     for column, v in zip(rows, (n, n - len(kept), text)):
                         column.append(v)
                 kept_texts = pa.array(rows[2], pa.binary()).cast(pa.string())
-                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), kept_texts], names=["h1", "h2", "n_words", "n_removed", "kept"])
+                yield pa.record_batch([*(batch.column(c).slice(i, j - i) for c in (0, 1, 3)), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), kept_texts], names=["h1", "h2", "copies", "n_words", "n_removed", "kept"])
 
-    return marked.mapInArrow(run, "h1 long, h2 long, n_words long, n_removed long, kept string")
+    return marked.mapInArrow(run, "h1 long, h2 long, copies long, n_words long, n_removed long, kept string")
 
 
 def _cleaned(keyed: DataFrame, window: int, gram: int, hot: int, verbatim: bool = False) -> DataFrame:
-    """h1, h2, n_words, n_removed, kept of each different text."""
-    keyed = keyed.select("h1", "h2", "text")
+    """h1, h2, copies, n_words, n_removed, kept of each different text."""
+    keyed, gram = keyed.select("h1", "h2", "text"), min(window, max(gram, window - MASK))
     found = written(anchors(keyed, window, gram))
-    grams = found.groupBy("gram").count().filter("count > 1").select("gram", (F.col("count") > hot).alias("hot"))
-    candidates = written(found.join(grams, "gram").drop("gram"))
+    grams = written(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").withColumn("hot", F.col("n") > hot))
+    candidates = written(hot_join(found, grams, "gram").drop("gram"))
     forget(found)
+    forget(grams)
     texts = keyed.groupBy("h1", "h2").agg(F.any_value("text").alias("text"), F.count("*").alias("copies"))
 
     def with_text(hot: bool) -> DataFrame:
@@ -291,11 +295,12 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM,
 
     With digest no text moves but in the one exchange of texts.
     """
-    keyed = _keyed(documents)
+    keyed, key = _keyed(documents), F.struct("h1", "h2").alias("key")
     done = _cleaned(keyed, window, gram, hot)
-    if digest:
-        done = done.select("h1", "h2", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-    return keyed.select("doc_id", "h1", "h2").join(done, ["h1", "h2"]).drop("h1", "h2")
+    if not digest:
+        return shared_join(keyed.select("doc_id", key), done.select(key, "n_words", "n_removed", "kept"), "key").drop("key")
+    done = written(done.select(key, "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), F.col("copies").alias("n")))
+    return hot_join(keyed.select("doc_id", key), done, "key").drop("key")
 
 
 def clean(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -303,12 +308,12 @@ def clean(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int
 
     Texts that keep all words stay as they are, null ones too; documents of which no word is left go.
     """
-    text = F.coalesce("text", F.lit(""))
+    text, key = F.coalesce("text", F.lit("")), F.struct("h1", "h2").alias("key")
     rest = documents.select(  # packed, so that no column's name can clash
         F.struct(*[c for c in documents.columns if c != "text"]).alias("row"), F.col("text").isNull().alias("absent"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")
     )
-    done = _cleaned(_keyed(documents), window, gram, hot, verbatim=True)
-    kept = rest.join(done, ["h1", "h2"]).filter("n_removed < n_words or n_removed = 0")
+    done = _cleaned(_keyed(documents), window, gram, hot, verbatim=True).select(key, "n_words", "n_removed", "kept")
+    kept = shared_join(rest.select(key, "row", "absent"), done, "key").filter("n_removed < n_words or n_removed = 0")
     new = {"text": F.when(~F.col("absent"), F.col("kept"))}
     if "n_chars" in documents.columns:
         new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("row")["n_chars"])

@@ -41,7 +41,7 @@ def corpus(rng, window):
     return rows
 
 
-@pytest.mark.parametrize("window, gram, hot", [(35, 8, 200_000), (35, 8, 3), (6, 2, 200_000), (6, 2, 4)])
+@pytest.mark.parametrize("window, gram, hot", [(35, 8, 200_000), (35, 8, 3), (6, 2, 200_000), (6, 2, 4), (100, 8, 200_000), (5, 8, 200_000)])
 def test_against_brute_force(documents, window, gram, hot, monkeypatch):
     monkeypatch.setattr(substring, "LOT", 50)
     rows = corpus(random.Random(window + hot), window)
@@ -49,6 +49,22 @@ def test_against_brute_force(documents, window, gram, hot, monkeypatch):
     assert sorted(map(tuple, found.select("doc_id", "n_words", "n_removed", "kept_sha256").collect())) == brute(rows, window)
 
 
+def test_hot_grams_nodes_and_texts(documents, monkeypatch):
+    """With a key hot from its third row on; most rows are one text, and a line stands in every other."""
+    from headway.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    rng = random.Random(12)
+    line = [f"l{i}" for i in range(12)]
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = [(i, " ".join(fresh(9) + line + fresh(9))) for i in range(40)] + [(100 + i, " ".join(line + ["copy"] * 20)) for i in range(60)] + [(900 + i, None) for i in range(20)]
+    for hot in (5, 200_000):
+        found = substring.remove_repeats(documents(rows), 10, 4, hot, digest=True)
+        assert sorted(map(tuple, found.select("doc_id", "n_words", "n_removed", "kept_sha256").collect())) == brute(rows, 10)
+    kept = {(r.doc_id, r.text) for r in substring.clean(documents(rows), 10, 4, 5).collect()}
+    assert kept == {(i, " ".join(w for w in t.split() if w not in line)) for i, t in rows[:40]} | {(900 + i, None) for i in range(20)}
+
+
 def test_texts_and_empty_table(documents):
     kept = substring.remove_repeats(documents([(1, "a b  c"), (2, "x " * 40)])).collect()
     assert sorted((r.doc_id, r.n_removed, r.kept) for r in kept) == [(1, 0, "a b c"), (2, 40, "")]
