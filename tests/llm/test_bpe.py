@@ -25,6 +25,21 @@ def test_like_the_library():
         assert ours.decode(ids) == theirs.decode(ids, skip_special_tokens=False)
 
 
+def test_long_words_like_the_library():
+    import time
+
+    theirs, ours = Tokenizer.from_file(PATH), WordBpe(SPEC)
+    rng = random.Random(6)
+    words = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("ab", "etaoinshrdlu", "abcdefghijklmnopqrstuvwxyzé", ".!?", "a") for n in (257, 1000, 20_000)]
+    began = time.perf_counter()
+    found = ours.encode([*words, " ".join(words[:6])])
+    assert time.perf_counter() - began < 20  # 5.2 s for 80,000 letters before
+    for word, ids in zip(words, found):
+        assert ids == theirs.encode(word, add_special_tokens=False).ids == list(ours.merge_long(word))
+    for word in ("a", "ab", "hello", "aaaa", "aaaaa"):
+        assert list(ours.merge_long(word)) == theirs.encode(word, add_special_tokens=False).ids
+
+
 def test_query_columns(spark, documents):
     rows = [(i, t) for i, t in enumerate([None, *TEXTS])] + [(3, TEXTS[2])]
     theirs = Tokenizer.from_file(PATH)
