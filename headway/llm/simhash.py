@@ -8,9 +8,9 @@ chunks, so a pair of chunks has bounded memory however large a tile grows. Equal
 ``near_duplicates`` links fingerprints within a radius: each pair of chunks returns a spanning forest of its links, never all
 of them. ``keep_first`` links texts whose sets of K-word shingles have a Jaccard similarity of SIMILARITY or more: the tiles
 propose pairs whose fingerprints differ by WIDE bits or fewer, a second fingerprint and the sizes of the sets drop those that
-are near by chance, and the texts decide each. Every text is first compared with its least neighbours; then only pairs of
-texts that are in different components yet are formed, so a group of copies never becomes all its pairs. What is linked is
-exact; a pair of similarity 0.8 is proposed with a probability of 0.996.
+are near by chance, and the texts decide each. Every text is first compared with its first and its nearest neighbours; then
+only pairs of texts that are in different components yet are formed, so a group of copies never becomes all its pairs. What
+is linked is exact; a pair of similarity 0.8 is proposed with a probability of 0.997.
 
 Defined cases: null and empty texts and texts of white space only have fingerprint zero, which links like any other, and are
 one group by shingles; texts under k words are one shingle; repeated rows are rows of one group; rows with a null doc_id link
@@ -27,15 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import HOT_KEYS, TextSizes, checkpointed, forget, hot_join, slices, written
+from headway.llm.common import TextSizes, checkpointed, forget, hot_join, slices, written
 from headway.llm.components import connected_components
 
 CHUNK = 2048
 #: Of keep_first: words of a shingle, least similarity, bits that the fingerprint and both fingerprints together may differ by.
-K, SIMILARITY, WIDE, BOTH = 5, 0.8, 18, 34
+K, SIMILARITY, WIDE, BOTH = 5, 0.8, 18, 33
 WIDE_CHUNK = 16_384
-#: Pairs of one text that make a share.
-COMPARED = 1000
+#: Texts of a block; a task compares the texts of two.
+BLOCK = 128
 
 
 def shingle_hashes(text: bytes, k: int, seed: int = 42) -> np.ndarray:
@@ -194,82 +194,121 @@ def near_duplicates(documents: DataFrame, radius: int = 2, k: int = 3, chunk: in
     return hot_join(marked, groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_places(a: dict, b: dict, same: bool, least: bool, similarity: float = SIMILARITY, wide: int = WIDE, both: int = BOTH):
-    """Places in a and in b, in arrays block by block, whose fingerprints and sizes allow the similarity and whose parts differ.
+def _near_block(a: dict, b: dict, k: int, same: bool, similarity: float, wide: int, both: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in a, place in b, bits that differ) of what near_places gives for 16 rows of a."""
+    x, y, rows = a["fp"].view(np.uint64), b["fp"].view(np.uint64), []
+    for o in range(0, len(y), 4096):
+        i, j = np.divmod(np.flatnonzero(np.bitwise_count(x[k : k + 16, None] ^ y[None, o : o + 4096]) <= wide), len(y[o : o + 4096]))
+        rows.append((i + k, j + o))
+    i, j = (np.concatenate([r[c] for r in rows]) for c in (0, 1))
+    d = np.bitwise_count(x[i] ^ y[j]).astype(np.int64) + np.bitwise_count(a["other"].view(np.uint64)[i] ^ b["other"].view(np.uint64)[j])
+    keep = (d <= both) & (np.minimum(a["size"][i], b["size"][j]) >= similarity * np.maximum(a["size"][i], b["size"][j])) & (a["part"][i] != b["part"][j])
+    if same:
+        keep &= i < j
+    return i[keep], j[keep], d[keep]
 
-    least: of each row's neighbours only the first on either side.
+
+def near_places(a: dict, b: dict, same: bool, first: bool, similarity: float = SIMILARITY, wide: int = WIDE, both: int = BOTH):
+    """Places in a and in b, in arrays, whose fingerprints and sizes allow the similarity and whose parts differ.
+
+    first: of each row's neighbours, on either side, only the first and the nearest.
     """
-    x, y, u, v = (c.view(np.uint64) for c in (a["fp"], b["fp"], a["other"], b["other"]))
-    met = np.zeros(len(y), bool)
-    for k in range(0, len(x), 16):
-        rows = []
-        for o in range(0, len(y), 4096):
-            i, j = np.divmod(np.flatnonzero(np.bitwise_count(x[k : k + 16, None] ^ y[None, o : o + 4096]) <= wide), len(y[o : o + 4096]))
-            rows.append((i + k, j + o))
-        i, j = (np.concatenate([r[c] for r in rows]) for c in (0, 1))
-        keep = np.bitwise_count(x[i] ^ y[j]) + np.bitwise_count(u[i] ^ v[j]) <= both
-        keep &= (np.minimum(a["size"][i], b["size"][j]) >= similarity * np.maximum(a["size"][i], b["size"][j])) & (a["part"][i] != b["part"][j])
-        if same:
-            keep &= i < j
-        i, j = i[keep], j[keep]
-        if least and len(i):
-            order = np.lexsort((j, i))
-            i, j = i[order], j[order]
-            new = np.r_[True, i[1:] != i[:-1]]  # the first of each row
-            fresh = np.zeros(len(j), bool)
-            fresh[np.unique(j, return_index=True)[1]] = True  # the first of each column, if no earlier block had one
-            fresh &= ~met[j]
+    best, mate = np.full(len(b["fp"]), both + 1), np.zeros(len(b["fp"]), np.int64)
+    met = np.zeros(len(best), bool)
+    for k in range(0, len(a["fp"]), 16):
+        i, j, d = _near_block(a, b, k, same, similarity, wide, both)
+        if not len(i):
+            continue
+        if first:
+            least, near = np.lexsort((j, i)), np.lexsort((j, d, i))  # rows of a, each with its first and its nearest
+            keep = [o[np.r_[True, i[o][1:] != i[o][:-1]]] for o in (least, near)]
+            order = np.lexsort((i, d, j))
+            order = order[np.r_[True, j[order][1:] != j[order][:-1]]]  # each of b with its nearest of these rows
+            better = order[d[order] < best[j[order]]]
+            best[j[better]], mate[j[better]] = d[better], i[better]
+            fresh = np.flatnonzero(~met[j])
+            fresh = fresh[np.unique(j[fresh], return_index=True)[1]]
             met[j] = True
-            i, j = i[new | fresh], j[new | fresh]
-        if len(i):
-            yield i, j
+            keep = np.unique(np.concatenate([*keep, fresh]))
+            i, j = i[keep], j[keep]
+        yield i, j
+    if first and met.any():
+        j = np.flatnonzero(met)
+        yield mate[j], j
 
 
-def candidates(nodes: DataFrame, least: bool, chunk: int = WIDE_CHUNK) -> DataFrame:
-    """(fp, other, size, part, node) -> (a, b): pairs of nodes of different parts that may be similar."""
+def candidates(nodes: DataFrame, first: bool, chunk: int = WIDE_CHUNK) -> DataFrame:
+    """(fp, other, size, part, block, node) -> (a, b, block_a, block_b): pairs of nodes of different parts that may be similar."""
 
     def run(batches):
         for batch in batches:
             for r in range(batch.num_rows):
                 same, x, y = _arrays(batch, r)
-                for i, j in near_places(x, y, same, least):
+                for i, j in near_places(x, y, same, first):
                     m, n = x["node"][i], y["node"][j]
-                    yield pa.record_batch([pa.array(np.minimum(m, n)), pa.array(np.maximum(m, n))], names=["a", "b"])
-
-    pairs = _tile_pairs(nodes.select("fp", "other", "size", "part", "node"), WIDE, chunk)
-    return pairs.mapInArrow(run, "a long, b long").distinct()
+                    u, v = x["block"][i], y["block"][j]
+                    swap = m > n
+                    columns = np.where(swap, n, m), np.where(swap, m, n), np.where(swap, v, u), np.where(swap, u, v)
+                    yield pa.record_batch([pa.array(c) for c in columns], names=["a", "b", "block_a", "block_b"])
+
+    pairs = _tile_pairs(nodes.select("fp", "other", "size", "part", "block", "node"), WIDE, chunk)
+    found = pairs.mapInArrow(run, "a long, b long, block_a long, block_b long")
+    return found.distinct() if first else found
+
+
+def _compared(nodes: list[int], texts: list, pairs: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the pairs (a, b), sorted by a, have the similarity."""
+    sets = {n: shingle_set(t.as_py() or b"") for n, t in zip(nodes, texts)}
+    keep = np.zeros(len(pairs), bool)
+    cuts = np.flatnonzero(np.r_[True, pairs[1:, 0] != pairs[:-1, 0], True])
+    for lo, hi in zip(cuts, cuts[1:]):
+        mine = sets[int(pairs[lo, 0])]
+        for k in range(lo, hi, 256):
+            others = [sets[int(n)] for n in pairs[k : min(hi, k + 256), 1]]
+            size = np.array([len(o) for o in others])
+            flat = np.concatenate(others)
+            if not len(flat) or not len(mine):
+                continue
+            hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+            shared = np.bincount(np.repeat(np.arange(len(others)), size), hit, len(others))
+            keep[k : k + len(others)] = (shared >= 1) & (shared >= similarity * (len(mine) + size - shared))
+    return keep
 
 
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) of nodes whose texts (node, text) have the similarity; written.
 
-    A node with many pairs is dealt to several tasks and its text to each of them: COMPARED pairs a share, or one in HOT_KEYS.
+    Pairs are compared by the blocks of their nodes: a task gets the texts of two blocks, as far as its pairs need them, and
+    all their pairs. So texts in a dense group travel once for many pairs, and a task holds no more than two blocks.
     """
 
     def run(batches):
         for batch in batches:
-            last, keep = (None, None), []
-            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                if last[0] != a:
-                    last = (a, shingle_set(x.cast(pa.binary()).as_py() or b""))
-                other = shingle_set(y.cast(pa.binary()).as_py() or b"")
-                both = len(np.intersect1d(last[1], other, assume_unique=True))
-                keep.append(both >= 1 and both >= similarity * (len(last[1]) + len(other) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    pairs = written(pairs)
-    rows, each = pairs, max(COMPARED, pairs.count() // HOT_KEYS)
-    for c, other in (("b", "a"), ("a", "b")):
-        shares = pairs.groupBy(c).agg(F.ceil(F.count("*") / each).cast("int").alias("shares"))
-        side = shares.join(texts, F.col(c) == F.col("node")).select(c, F.col("text").alias(f"text_{c}"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
-        many = F.broadcast(shares.filter("shares > 1"))  # fewer than HOT_KEYS rows
-        dealt = rows.join(many, c, "left").withColumn("share", F.pmod(F.xxhash64(other), F.coalesce("shares", F.lit(1))).cast("int")).drop("shares")
-        rows = dealt.join(side, [c, "share"]).drop("share")
-    out = written(rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
+            for r in range(batch.num_rows):
+                rows, both = batch.column(0)[r].values, batch.column(1)[r].values
+                found = np.stack([both.field(c).to_numpy(zero_copy_only=False) for c in ("a", "b")], 1)
+                found = found[np.lexsort((found[:, 1], found[:, 0]))]
+                hit = found[_compared(rows.field("node").to_pylist(), rows.field("text").cast(pa.binary()), found, similarity)]
+                yield pa.record_batch([pa.array(hit[:, c]) for c in (0, 1)], names=["a", "b"])
+
+    pairs = written(pairs.select("a", "b", F.struct(F.least("block_a", "block_b").alias("x"), F.greatest("block_a", "block_b").alias("y")).alias("unit")))
+    members = pairs.select("unit", F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = members.join(texts, "node").groupBy("unit").agg(F.collect_list(F.struct("node", "text")).alias("rows"))
+    asked = pairs.groupBy("unit").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+    out = written(held.join(asked, "unit").select("rows", "pairs").mapInArrow(run, "a long, b long"))
     forget(pairs)
     return out
 
 
+def blocks_of(first: DataFrame, size: int = BLOCK) -> DataFrame:
+    """node -> block of the nodes in some candidate pairs: about size nodes that have a first neighbour in common."""
+    ends = first.select(F.col("a").alias("node"), F.col("b").alias("mate")).union(first.select("b", "a"))
+    near = checkpointed(ends.groupBy("node").agg(F.least("node", F.min("mate")).alias("lead")))
+    sizes = near.groupBy("lead").agg(F.count("*").alias("n"))
+    dealt = hot_join(near, checkpointed(sizes.withColumn("of", F.ceil(F.col("n") / size).cast("int"))), "lead")
+    return dealt.select("node", F.xxhash64("lead", F.pmod(F.xxhash64("node"), "of")).alias("block"))
+
+
 def _marked(keyed: DataFrame, k: int) -> DataFrame:
     """(doc_id, h1, h2, row with a text) -> the first three, and the set of shingles: two hashes, size, two fingerprints."""
 
@@ -293,12 +332,13 @@ def _marked(keyed: DataFrame, k: int) -> DataFrame:
 
 def similar_groups(nodes: DataFrame, texts_of, similarity: float = SIMILARITY, chunk: int = WIDE_CHUNK) -> DataFrame:
     """(node, fp, other, size) -> (node, component) of the nodes that have a similar one; texts_of gives (node, text) of some nodes."""
-    first = written(candidates(nodes.withColumn("part", F.col("node")), True, chunk))
-    met = checkpointed(first.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    texts = written(texts_of(met))
-    near = similar(first, texts, similarity)
+    first = written(candidates(nodes.withColumn("part", F.col("node")).withColumn("block", F.lit(0).cast("long")), True, chunk).select("a", "b"))
+    blocks = checkpointed(blocks_of(first))
+    texts = written(texts_of(blocks.select("node")))
+    side = lambda c: blocks.select(F.col("node").alias(c), F.col("block").alias(f"block_{c}"))
+    near = similar(first.join(side("a"), "a").join(side("b"), "b"), texts, similarity)
     parts = connected_components(near)
-    mine = nodes.join(met, "node").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    mine = nodes.join(blocks, "node").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     more = similar(candidates(mine, False, chunk), texts, similarity)
     out = checkpointed(connected_components(near.union(more)))
     for table in (first, texts, near, more):

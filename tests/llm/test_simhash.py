@@ -151,6 +151,11 @@ def test_proposed_pairs_have_the_recall_that_is_claimed():
     assert pairs(False) == want and len(want) > 1000
     some = pairs(True)
     assert some <= want and {i for i, _ in some} == {i for i, _ in want} and {j for _, j in some} == {j for _, j in want}
+    apart = lambda i, j: int(a["fp"][i] ^ b["fp"][j]).bit_count() + int(a["other"][i] ^ b["other"][j]).bit_count()
+    for side in (0, 1):
+        for n in {p[side] for p in want}:
+            mine = [p for p in want if p[side] == n]
+            assert min(mine) in some and min(apart(*p) for p in mine) == min(apart(*p) for p in some if p[side] == n)
 
 
 def test_rows_that_share_an_id_with_different_texts_stay(documents):
