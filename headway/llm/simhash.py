@@ -8,8 +8,8 @@ chunks, so a pair of chunks has bounded memory however large a tile grows. Equal
 ``near_duplicates`` links fingerprints within a radius: each pair of chunks returns a spanning forest of its links, never all
 of them. ``keep_first`` links texts whose sets of K-word shingles have a Jaccard similarity of SIMILARITY or more: the tiles
 propose pairs whose fingerprints differ by WIDE bits or fewer, a second fingerprint and the sizes of the sets drop those that
-are near by chance, and the texts decide each. Every text is first compared with its first and its nearest neighbours; then
-only pairs of texts that are in different components yet are formed, so a group of copies never becomes all its pairs. What
+are near by chance, and the texts decide each. Texts are dealt into blocks by a neighbour that they share, and blocks that
+hold a proposed pair meet in a task, which returns links that join what is similar; pairs themselves are never written. What
 is linked is exact; a pair of similarity 0.8 is proposed with a probability of 0.997.
 
 Defined cases: null and empty texts and texts of white space only have fingerprint zero, which links like any other, and are
@@ -35,7 +35,7 @@ CHUNK = 2048
 K, SIMILARITY, WIDE, BOTH = 5, 0.8, 18, 33
 WIDE_CHUNK = 16_384
 #: Texts of a block; a task compares the texts of two.
-BLOCK = 128
+BLOCK = 64
 
 
 def shingle_hashes(text: bytes, k: int, seed: int = 42) -> np.ndarray:
@@ -194,121 +194,130 @@ def near_duplicates(documents: DataFrame, radius: int = 2, k: int = 3, chunk: in
     return hot_join(marked, groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _near_block(a: dict, b: dict, k: int, same: bool, similarity: float, wide: int, both: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place in a, place in b, bits that differ) of what near_places gives for 16 rows of a."""
-    x, y, rows = a["fp"].view(np.uint64), b["fp"].view(np.uint64), []
-    for o in range(0, len(y), 4096):
-        i, j = np.divmod(np.flatnonzero(np.bitwise_count(x[k : k + 16, None] ^ y[None, o : o + 4096]) <= wide), len(y[o : o + 4096]))
-        rows.append((i + k, j + o))
-    i, j = (np.concatenate([r[c] for r in rows]) for c in (0, 1))
-    d = np.bitwise_count(x[i] ^ y[j]).astype(np.int64) + np.bitwise_count(a["other"].view(np.uint64)[i] ^ b["other"].view(np.uint64)[j])
-    keep = (d <= both) & (np.minimum(a["size"][i], b["size"][j]) >= similarity * np.maximum(a["size"][i], b["size"][j])) & (a["part"][i] != b["part"][j])
-    if same:
-        keep &= i < j
-    return i[keep], j[keep], d[keep]
+def near_places(a: dict, b: dict, same: bool, similarity: float = SIMILARITY, wide: int = WIDE, both: int = BOTH):
+    """Places in a and in b, in arrays by rows of a, whose fingerprints and sizes allow the similarity."""
+    x, y, u, v = (c.view(np.uint64) for c in (a["fp"], b["fp"], a["other"], b["other"]))
+    for k in range(0, len(x), 16):
+        rows = []
+        for o in range(0, len(y), 4096):
+            i, j = np.divmod(np.flatnonzero(np.bitwise_count(x[k : k + 16, None] ^ y[None, o : o + 4096]) <= wide), len(y[o : o + 4096]))
+            rows.append((i + k, j + o))
+        i, j = (np.concatenate([r[c] for r in rows]) for c in (0, 1))
+        keep = np.bitwise_count(x[i] ^ y[j]) + np.bitwise_count(u[i] ^ v[j]) <= both
+        keep &= np.minimum(a["size"][i], b["size"][j]) >= similarity * np.maximum(a["size"][i], b["size"][j])
+        if same:
+            keep &= i < j
+        if keep.any():
+            order = np.lexsort((j[keep], i[keep]))
+            yield i[keep][order], j[keep][order]
 
 
-def near_places(a: dict, b: dict, same: bool, first: bool, similarity: float = SIMILARITY, wide: int = WIDE, both: int = BOTH):
-    """Places in a and in b, in arrays, whose fingerprints and sizes allow the similarity and whose parts differ.
+def first_neighbours(nodes: DataFrame, chunk: int = WIDE_CHUNK) -> DataFrame:
+    """(fp, other, size, node) -> (node, mate): of nodes that may have a similar one, the least of these in each chunk."""
 
-    first: of each row's neighbours, on either side, only the first and the nearest.
-    """
-    best, mate = np.full(len(b["fp"]), both + 1), np.zeros(len(b["fp"]), np.int64)
-    met = np.zeros(len(best), bool)
-    for k in range(0, len(a["fp"]), 16):
-        i, j, d = _near_block(a, b, k, same, similarity, wide, both)
-        if not len(i):
-            continue
-        if first:
-            least, near = np.lexsort((j, i)), np.lexsort((j, d, i))  # rows of a, each with its first and its nearest
-            keep = [o[np.r_[True, i[o][1:] != i[o][:-1]]] for o in (least, near)]
-            order = np.lexsort((i, d, j))
-            order = order[np.r_[True, j[order][1:] != j[order][:-1]]]  # each of b with its nearest of these rows
-            better = order[d[order] < best[j[order]]]
-            best[j[better]], mate[j[better]] = d[better], i[better]
-            fresh = np.flatnonzero(~met[j])
-            fresh = fresh[np.unique(j[fresh], return_index=True)[1]]
-            met[j] = True
-            keep = np.unique(np.concatenate([*keep, fresh]))
-            i, j = i[keep], j[keep]
-        yield i, j
-    if first and met.any():
-        j = np.flatnonzero(met)
-        yield mate[j], j
-
-
-def candidates(nodes: DataFrame, first: bool, chunk: int = WIDE_CHUNK) -> DataFrame:
-    """(fp, other, size, part, block, node) -> (a, b, block_a, block_b): pairs of nodes of different parts that may be similar."""
+    def run(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                same, x, y = _arrays(batch, r)
+                of_x, of_y = (np.full(len(c["node"]), np.iinfo(np.int64).max) for c in (x, y))
+                for i, j in near_places(x, y, same):
+                    np.minimum.at(of_x, i, y["node"][j])
+                    np.minimum.at(of_y, j, x["node"][i])
+                for side, mate in ((x, of_x), (y, of_y)):
+                    met = np.flatnonzero(mate < np.iinfo(np.int64).max)
+                    yield pa.record_batch([pa.array(side["node"][met]), pa.array(mate[met])], names=["node", "mate"])
+
+    return _tile_pairs(nodes.select("fp", "other", "size", "node"), WIDE, chunk).mapInArrow(run, "node long, mate long")
+
+
+def blocks_of(first: DataFrame, size: int = BLOCK) -> DataFrame:
+    """(node, mate) -> node, block: blocks hold about size nodes that have their least neighbour in common."""
+    near = checkpointed(first.groupBy("node").agg(F.least("node", F.min("mate")).alias("lead")))
+    sizes = checkpointed(near.groupBy("lead").agg(F.count("*").alias("n")).withColumn("of", F.ceil(F.col("n") / size).cast("int")))
+    return hot_join(near, sizes, "lead").select("node", F.xxhash64("lead", F.pmod(F.xxhash64("node"), "of")).alias("block"))
+
+
+def block_pairs(nodes: DataFrame, chunk: int = WIDE_CHUNK) -> DataFrame:
+    """(fp, other, size, block) -> (x, y), x <= y: the pairs of blocks that hold two texts which may be similar."""
 
     def run(batches):
         for batch in batches:
             for r in range(batch.num_rows):
                 same, x, y = _arrays(batch, r)
-                for i, j in near_places(x, y, same, first):
-                    m, n = x["node"][i], y["node"][j]
-                    u, v = x["block"][i], y["block"][j]
-                    swap = m > n
-                    columns = np.where(swap, n, m), np.where(swap, m, n), np.where(swap, v, u), np.where(swap, u, v)
-                    yield pa.record_batch([pa.array(c) for c in columns], names=["a", "b", "block_a", "block_b"])
-
-    pairs = _tile_pairs(nodes.select("fp", "other", "size", "part", "block", "node"), WIDE, chunk)
-    found = pairs.mapInArrow(run, "a long, b long, block_a long, block_b long")
-    return found.distinct() if first else found
-
-
-def _compared(nodes: list[int], texts: list, pairs: np.ndarray, similarity: float) -> np.ndarray:
-    """Which of the pairs (a, b), sorted by a, have the similarity."""
-    sets = {n: shingle_set(t.as_py() or b"") for n, t in zip(nodes, texts)}
-    keep = np.zeros(len(pairs), bool)
-    cuts = np.flatnonzero(np.r_[True, pairs[1:, 0] != pairs[:-1, 0], True])
-    for lo, hi in zip(cuts, cuts[1:]):
-        mine = sets[int(pairs[lo, 0])]
-        for k in range(lo, hi, 256):
-            others = [sets[int(n)] for n in pairs[k : min(hi, k + 256), 1]]
-            size = np.array([len(o) for o in others])
-            flat = np.concatenate(others)
-            if not len(flat) or not len(mine):
+                found = [np.zeros((0, 2), np.int64)]
+                for i, j in near_places(x, y, same):
+                    found.append(np.unique(np.sort(np.stack([x["block"][i], y["block"][j]], 1), axis=1), axis=0))
+                pairs = np.unique(np.concatenate(found), axis=0)
+                yield pa.record_batch([pa.array(pairs[:, c]) for c in (0, 1)], names=["x", "y"])
+
+    return _tile_pairs(nodes.select("fp", "other", "size", "block"), WIDE, chunk).mapInArrow(run, "x long, y long").distinct()
+
+
+def similar_links(a: dict, b: dict, texts_a: list, texts_b: list, same: bool, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between the texts of a and of b (or within a): places 0.. are a's, len(a).. are b's.
+
+    Texts that are connected already are not compared, so a group of copies takes one comparison for each.
+    """
+    n = len(texts_a)
+    label, sets = np.arange(n + (0 if same else len(texts_b))), {}
+
+    def set_of(p: int) -> np.ndarray:
+        if p not in sets:
+            text = texts_a[p] if p < n else texts_b[p - n]
+            sets[p] = shingle_set(text.as_py() or b"")
+        return sets[p]
+
+    for rows, columns in near_places(a, b, same, similarity):
+        others = columns if same else columns + n
+        for i in np.unique(rows).tolist():
+            j = others[rows == i]
+            j = j[label[j] != label[i]]
+            if not len(j):
+                continue
+            mine, theirs = set_of(i), [set_of(p) for p in j.tolist()]
+            size, flat = np.array([len(s) for s in theirs]), np.concatenate(theirs)
+            if not len(mine) or not len(flat):
                 continue
             hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
-            shared = np.bincount(np.repeat(np.arange(len(others)), size), hit, len(others))
-            keep[k : k + len(others)] = (shared >= 1) & (shared >= similarity * (len(mine) + size - shared))
-    return keep
+            shared = np.bincount(np.repeat(np.arange(len(j)), size), hit, len(j))
+            linked = (shared >= 1) & (shared >= similarity * (len(mine) + size - shared))
+            if linked.any():
+                joined = np.isin(label, label[np.r_[i, j[linked]]])
+                label[joined] = label[joined].min()
+    at = np.flatnonzero(label != np.arange(len(label)))
+    return at, label[at]
 
 
-def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts (node, text) have the similarity; written.
+def similar_groups(nodes: DataFrame, texts_of, similarity: float = SIMILARITY, chunk: int = WIDE_CHUNK) -> DataFrame:
+    """(node, fp, other, size) -> (node, component) of the nodes that have a similar one; texts_of gives (node, text) of some nodes.
 
-    Pairs are compared by the blocks of their nodes: a task gets the texts of two blocks, as far as its pairs need them, and
-    all their pairs. So texts in a dense group travel once for many pairs, and a task holds no more than two blocks.
+    Texts are compared where two blocks meet, and a task emits links that join what is similar, never pairs that may be.
     """
+    blocks = checkpointed(blocks_of(first_neighbours(nodes, chunk)))
+    mine = checkpointed(nodes.join(blocks, "node"))
+    units = checkpointed(block_pairs(mine, chunk))
+    held = mine.join(texts_of(blocks.select("node")), "node")
+    packed = written(held.groupBy("block").agg(F.collect_list(F.struct("node", "fp", "other", "size", "text")).alias("rows")))
+    side = lambda c: packed.select(F.col("block").alias(c), F.col("rows").alias(f"of_{c}"))
 
     def run(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                rows, both = batch.column(0)[r].values, batch.column(1)[r].values
-                found = np.stack([both.field(c).to_numpy(zero_copy_only=False) for c in ("a", "b")], 1)
-                found = found[np.lexsort((found[:, 1], found[:, 0]))]
-                hit = found[_compared(rows.field("node").to_pylist(), rows.field("text").cast(pa.binary()), found, similarity)]
-                yield pa.record_batch([pa.array(hit[:, c]) for c in (0, 1)], names=["a", "b"])
-
-    pairs = written(pairs.select("a", "b", F.struct(F.least("block_a", "block_b").alias("x"), F.greatest("block_a", "block_b").alias("y")).alias("unit")))
-    members = pairs.select("unit", F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = members.join(texts, "node").groupBy("unit").agg(F.collect_list(F.struct("node", "text")).alias("rows"))
-    asked = pairs.groupBy("unit").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
-    out = written(held.join(asked, "unit").select("rows", "pairs").mapInArrow(run, "a long, b long"))
-    forget(pairs)
+                same = batch.column(0)[r].as_py()
+                rows = [batch.column(c)[r].values for c in ((1, 1) if same else (1, 2))]
+                a, b = ({c: x.field(c).to_numpy(zero_copy_only=False) for c in ("node", "fp", "other", "size")} for x in rows)
+                texts_a, texts_b = (x.field("text").cast(pa.binary()) for x in rows)
+                i, j = similar_links(a, b, texts_a, texts_b, same, similarity)
+                both = a["node"] if same else np.concatenate([a["node"], b["node"]])
+                yield pa.record_batch([pa.array(both[i]), pa.array(both[j])], names=["a", "b"])
+
+    same = F.col("x") == F.col("y")
+    met = units.join(side("x"), "x").join(side("y"), "y").select(same.alias("same"), "of_x", F.when(~same, F.col("of_y")).alias("of_y"))
+    out = checkpointed(connected_components(met.mapInArrow(run, "a long, b long")))
+    forget(packed)
     return out
 
 
-def blocks_of(first: DataFrame, size: int = BLOCK) -> DataFrame:
-    """node -> block of the nodes in some candidate pairs: about size nodes that have a first neighbour in common."""
-    ends = first.select(F.col("a").alias("node"), F.col("b").alias("mate")).union(first.select("b", "a"))
-    near = checkpointed(ends.groupBy("node").agg(F.least("node", F.min("mate")).alias("lead")))
-    sizes = near.groupBy("lead").agg(F.count("*").alias("n"))
-    dealt = hot_join(near, checkpointed(sizes.withColumn("of", F.ceil(F.col("n") / size).cast("int"))), "lead")
-    return dealt.select("node", F.xxhash64("lead", F.pmod(F.xxhash64("node"), "of")).alias("block"))
-
-
 def _marked(keyed: DataFrame, k: int) -> DataFrame:
     """(doc_id, h1, h2, row with a text) -> the first three, and the set of shingles: two hashes, size, two fingerprints."""
 
@@ -330,22 +339,6 @@ def _marked(keyed: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, h1 long, h2 long, s1 long, s2 long, size long, fp long, other long")
 
 
-def similar_groups(nodes: DataFrame, texts_of, similarity: float = SIMILARITY, chunk: int = WIDE_CHUNK) -> DataFrame:
-    """(node, fp, other, size) -> (node, component) of the nodes that have a similar one; texts_of gives (node, text) of some nodes."""
-    first = written(candidates(nodes.withColumn("part", F.col("node")).withColumn("block", F.lit(0).cast("long")), True, chunk).select("a", "b"))
-    blocks = checkpointed(blocks_of(first))
-    texts = written(texts_of(blocks.select("node")))
-    side = lambda c: blocks.select(F.col("node").alias(c), F.col("block").alias(f"block_{c}"))
-    near = similar(first.join(side("a"), "a").join(side("b"), "b"), texts, similarity)
-    parts = connected_components(near)
-    mine = nodes.join(blocks, "node").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    more = similar(candidates(mine, False, chunk), texts, similarity)
-    out = checkpointed(connected_components(near.union(more)))
-    for table in (first, texts, near, more):
-        forget(table)
-    return out
-
-
 def keep_first(documents: DataFrame, similarity: float = SIMILARITY, k: int = K, chunk: int = WIDE_CHUNK) -> DataFrame:
     """One document of each group of texts linked by the similarity, with all its columns.
 
