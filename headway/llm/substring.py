@@ -31,7 +31,7 @@ from headway.llm.words import WordTable
 WINDOW = 35
 GRAM = 8
 #: Suffixes of one prefix that a task holds in memory at most, and suffixes of one lot.
-HOT = 50_000
+HOT = 200_000
 LOT = 40_000
 #: A mask has a bit for each offset of a window's start before its anchor.
 MASK = 62
@@ -234,7 +234,6 @@ def _hot_windows(candidates: DataFrame, window: int, gram: int) -> DataFrame:
                 yield pa.record_batch([pa.array([h1] * len(starts), pa.int64()), pa.array([h2] * len(starts), pa.int64()), pa.array(starts, pa.int32()), pa.array(digests, pa.binary())], names=["h1", "h2", "pos", "node"])
 
     windows = candidates.mapInArrow(run, "h1 long, h2 long, pos int, node binary")
-    windows = written(windows)
     nodes = written(windows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"))
     return hot_join(windows, nodes, "node").select("h1", "h2", "pos", F.lit(1).cast("long").alias("mask"))
 
