@@ -25,9 +25,9 @@ class Feed:
 
 
 FEEDS = {
-    "vehicle_positions": Feed("vehicle_positions", ("vehicle_id",), ("position_timestamp", "trip_id", "latitude", "longitude", "current_status", "stop_id"), ("fetched_s", "position_timestamp")),
-    "trip_updates": Feed("trip_updates", ("trip_id", "stop_id", "stop_sequence"), ("arrival_time", "departure_time", "schedule_relationship"), ("fetched_s", "trip_timestamp")),
-    "service_alerts": Feed("service_alerts", ("alert_id",), ("last_modified", "header_text", "effect"), ("fetched_s",)),
+    "vehicle_positions": Feed("vehicle_positions", ("vehicle_id",), ("position_timestamp",), ("fetched_s", "position_timestamp")),
+    "trip_updates": Feed("trip_updates", ("trip_id", "stop_id", "stop_sequence"), ("arrival_time", "departure_time"), ("fetched_s", "trip_timestamp")),
+    "service_alerts": Feed("service_alerts", ("alert_id",), ("last_modified",), ("fetched_s",)),
 }
 
 
@@ -36,12 +36,15 @@ def process(spark: SparkSession, root: str, feed: str, start: int, end: int) ->
 
     The cache of last values starts cold, so the first value of each key in the window is new.
     """
+    return published(feed, archive.scan(spark, root, feed, start, end))
+
+
+def published(feed: str, payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(new records, dead letters) of payloads (feed_etag, fetched_s, content)."""
     spec = FEEDS[feed]
-    payloads = archive.scan(spark, root, feed, start, end)
-    decoded = realtime.decode(feed, payloads).join(payloads.select("feed_etag", "fetched_s", "content"), "feed_etag")
-    bad = decoded.filter("reason is not null")
-    letters = dead_letters(bad, F.col("reason"), F.lit(None).cast("string"), F.col(spec.keys[0]), F.col("content"))
-    good = decoded.filter("reason is null").drop("reason", "content")
+    decoded = realtime.decode(feed, payloads, ("fetched_s",))
+    letters = dead_letters(decoded.filter("reason is not null"), F.col("reason"), F.lit(None).cast("string"), F.col(spec.keys[0]), F.col("rejected"))
+    good = decoded.filter("reason is null").drop("reason", "rejected")
     return value_dedupe(good, list(spec.keys), list(spec.order), list(spec.values)).drop("fetched_s"), letters
 
 

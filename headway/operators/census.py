@@ -2,31 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway.functions.text import snake_case
 
 
-def leaves(schema: T.StructType, prefix: str = "") -> list[str]:
+def leaves(schema: T.DataType, prefix: str = "") -> list[str]:
+    """Paths of all leaves; a step into the elements of an array is written []."""
+    if isinstance(schema, T.ArrayType):
+        return leaves(schema.elementType, f"{prefix}[]")
+    if not isinstance(schema, T.StructType):
+        return [prefix]
     out = []
     for f in schema.fields:
-        path = f"{prefix}{f.name}"
-        out += leaves(f.dataType, f"{path}.") if isinstance(f.dataType, T.StructType) else [path]
+        out += leaves(f.dataType, f"{prefix}.{f.name}" if prefix else f.name)
     return out
 
 
+def _values(path: str) -> Column:
+    """The values of a path in a row, as an array of text without nulls."""
+    values = F.array(F.struct("*"))
+    for step in path.split("."):
+        name, *into = step.split("[]")
+        values = _step(values, name)
+        for _ in into:
+            values = F.flatten(F.transform(values, lambda v: F.coalesce(v, F.array())))
+    return F.array_compact(F.transform(values, lambda v: v.cast("string")))
+
+
+def _step(values: Column, name: str) -> Column:
+    return F.transform(values, lambda v: v.getField(name))
+
+
 def field_census(df: DataFrame, samples: int = 3) -> DataFrame:
-    """path, present, pct, samples: one pass over the rows, all leaves in one aggregate; samples are the least values."""
-    paths = leaves(df.schema)
-    parts = []
-    for i, p in enumerate(paths):
-        parts += [F.count(p).alias(f"n{i}"), F.min(F.col(p).cast("string")).alias(f"a{i}"), F.max(F.col(p).cast("string")).alias(f"b{i}")]
-    row = df.agg(F.count("*").alias("all"), *parts)
-    ends = lambda i: F.slice(F.array_compact(F.array_distinct(F.array(f"a{i}", f"b{i}"))), 1, samples)
-    each = F.array(*[F.struct(F.lit(p).alias("path"), F.col(f"n{i}").alias("present"), F.round(100.0 * F.col(f"n{i}") / F.col("all"), 2).alias("pct"), F.array_join(ends(i), ",").alias("samples")) for i, p in enumerate(paths)])
-    return row.select(F.explode(each).alias("r")).select("r.*")
+    """path, present, pct, samples: how many rows have a value there, and the least of the different values.
+
+    Each task keeps no more than a few values of a path: a group of a path and a value is one row, and paths are as many as the
+    schema has.
+    """
+    paths, total = leaves(df.schema), df.agg(F.count("*")).scalar()
+    parts = [F.struct(F.lit(p).alias("path"), F.array_distinct(_values(p)).alias("values")) for p in paths]
+    each = df.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+    counts = each.groupBy("path").agg(F.count_if(F.size("values") > 0).alias("present"))
+    values = each.select("path", F.explode("values").alias("value")).groupBy("path", "value").agg(F.count("*").alias("_n"))
+    least = values.withColumn("k", F.row_number().over(Window.partitionBy("path").orderBy("value"))).filter(F.col("k") <= samples)  # a limit of k for each group
+    shown = least.groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("samples"))
+    out = counts.join(shown, "path", "left")
+    return out.select("path", "present", F.round(100.0 * F.col("present") / total, 2).alias("pct"), F.coalesce("samples", F.lit("")).alias("samples"))
 
 
 def shape_compare(a: DataFrame, b: DataFrame) -> DataFrame:

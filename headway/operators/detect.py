@@ -19,11 +19,11 @@ def parse_records(positions: DataFrame) -> DataFrame:
 
 
 def latest_in_window(positions: DataFrame, config: Bunching = Bunching(), tie: str = "trip_id") -> DataFrame:
-    """The latest position of each vehicle in each tumbling window; equal times are decided by the least tie column."""
+    """The latest position of each vehicle in each tumbling window; equal times are decided by the least tie column, null last."""
     window = F.window("position_timestamp", f"{config.window_s} seconds")
     rest = [c for c in positions.columns if c not in ("vehicle_id", "route_id", "direction_id")]
-    order = F.struct(F.col("position_timestamp"), F.when(F.col(tie).isNull(), 0).otherwise(1), (-F.xxhash64(tie)))
-    grouped = positions.groupBy(window.alias("_w"), "route_id", "direction_id", "vehicle_id").agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    order = F.struct((-F.unix_micros("position_timestamp")).alias("t"), F.col(tie).isNull().alias("n"), F.col(tie).alias("v"))
+    grouped = positions.groupBy(window.alias("_w"), "route_id", "direction_id", "vehicle_id").agg(F.min_by(F.struct(*rest), order).alias("_row"))
     return grouped.select(F.unix_seconds("_w.end").alias("window_end"), "route_id", "direction_id", "vehicle_id", *[F.col("_row")[c].alias(c) for c in rest])
 
 
@@ -68,6 +68,19 @@ def cooldown_fold(windows: Column, config: Bunching = Bunching()) -> Column:
     return F.aggregate(windows, start, step, lambda acc: acc["out"])
 
 
+def cooldown_run(rows: Column, n: Column, last: Column, alert: Column, config: Bunching = Bunching()) -> Column:
+    """Struct (n, last, alert, out) after sorted rows (window_end, row) of a pair, from the state before them; out: rows that alert."""
+    start = F.struct(F.coalesce(n, F.lit(0)).alias("n"), last.alias("last"), alert.alias("alert"), F.transform(F.filter(rows, lambda r: F.lit(False)), lambda r: r["row"]).alias("out"))
+
+    def step(acc: Column, r: Column) -> Column:
+        w = r["window_end"]
+        run = F.when(w - acc["last"] <= config.window_s, acc["n"] + 1).otherwise(1)
+        fires = (run >= config.min_consecutive) & F.coalesce(w - acc["alert"] >= config.cooldown_s, F.lit(True))
+        return F.struct(run.alias("n"), w.alias("last"), F.when(fires, w).otherwise(acc["alert"]).alias("alert"), F.when(fires, F.concat(acc["out"], F.array(r["row"]))).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(rows, start, step)
+
+
 def cooled_alerts(pairs: DataFrame, config: Bunching = Bunching()) -> DataFrame:
     """The rows of pairs that alert. A pair's windows fit in an array: one a minute."""
     keyed = pairs.withColumn("pair", pair_key(F.col("vehicle_id_a"), F.col("vehicle_id_b")))

@@ -10,12 +10,13 @@ from headway.functions.geo import grid_cell, polygon_covers, project_on_line
 from headway.functions.time import clock_seconds, gtfs_date, service_origin
 
 #: Reference sides up to this size go to every executor; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 << 20
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast side if a check of its size allows it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast side if a check of its size allows it: of its whole rows, arrays included, as text."""
+    size = df.select(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()[0]
+    return F.broadcast(df) if (size or 0) <= limit else df
 
 
 def current_version(versions: DataFrame) -> int | None:

@@ -38,12 +38,24 @@ def diff_keys(live: DataFrame, replay: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, same, "full_outer").select(*[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys], side.alias("side"))
 
 
-def field_mismatches(live: DataFrame, replay: DataFrame, keys: list[str], ignore: tuple[str, ...] = ()) -> DataFrame:
-    """field, mismatches over the keys that both sides have; the last row of a key counts on either side."""
-    fields = [c for c in live.columns if c not in keys and c not in ignore]
-    a, b = live.alias("a"), replay.alias("b")
+def field_mismatches(live: DataFrame, replay: DataFrame, keys: list[str], ignore: tuple[str, ...] = (), order: list[str] | None = None) -> DataFrame:
+    """field, mismatches over the keys that both sides have.
+
+    The last row of a key by order (by all its fields, if none is given) counts on either side, so repeated keys count once. A
+    field that only one side has differs wherever that side has a value.
+    """
+    fields = [c for c in dict.fromkeys([*live.columns, *replay.columns]) if c not in keys and c not in ignore]
+    if not fields:
+        return live.sparkSession.createDataFrame([], "field string, mismatches long")
+
+    def last(df: DataFrame) -> DataFrame:
+        comparable = [c for c, kind in sorted(df.dtypes) if c not in keys and c not in ignore and "map<" not in kind and "variant" not in kind]
+        return latest_per_key(df, keys, order or comparable or keys)
+
+    a, b = last(live).alias("a"), last(replay).alias("b")
+    value = lambda side, df, c: F.col(f"{side}.{c}") if c in df.columns else F.lit(None)
     same = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
-    counts = a.join(b, same).agg(*[F.count_if(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))).alias(c) for c in fields])
+    counts = a.join(b, same).agg(*[F.count_if(~value("a", live, c).eqNullSafe(value("b", replay, c))).alias(c) for c in fields])
     return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("mismatches")) for c in fields])).alias("m")).select("m.*")
 
 

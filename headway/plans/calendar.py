@@ -40,4 +40,7 @@ def window_days(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame
 
 
 def days_by_type(days: DataFrame) -> DataFrame:
-    return days.groupBy(day_type(F.col("local_date")).alias("day_type")).agg(F.count("*").alias("days"))
+    """day_type, days: a row for each kind of day, zero where the window has none."""
+    kinds = days.sparkSession.createDataFrame([("weekday",), ("saturday",), ("sunday",)], "day_type string")
+    counted = days.groupBy(day_type(F.col("local_date")).alias("day_type")).agg(F.count("*").alias("days"))
+    return kinds.join(counted, "day_type", "left").select("day_type", F.coalesce("days", F.lit(0)).alias("days"))

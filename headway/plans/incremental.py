@@ -29,6 +29,20 @@ def feed_health(existing: DataFrame | None, positions: DataFrame, config: Wareho
     return fresh if restart is None else replace_from(existing, fresh, "minute", restart)
 
 
+def placed_alerts(existing: DataFrame | None, alerts: DataFrame, positions: DataFrame, stops: DataFrame, config: Warehouse = Warehouse()) -> DataFrame:
+    """The alert mart: the newest minutes are built anew, and windows of recent days with an alert that found no place.
+
+    window_end is in epoch seconds. A window is rebuilt whole, so no alert of it is lost.
+    """
+    if existing is None or (newest := existing.agg(F.max("window_end")).first()[0]) is None:
+        return marts.placed_alerts(alerts, positions, stops)
+    recent = F.col("window_end") >= newest - 60 * config.alert_lookback_min
+    again = existing.filter(F.col("latitude").isNull() & (F.col("window_end") >= newest - 86_400 * config.unplaced_days)).select("window_end").distinct()
+    due = lambda df: df.filter(recent).unionByName(df.filter(~recent).join(again, "window_end", "left_semi"))
+    kept = existing.filter(~recent).join(again, "window_end", "left_anti")
+    return kept.unionByName(marts.placed_alerts(due(alerts), positions, stops).select(*existing.columns))
+
+
 def by_day(existing: DataFrame | None, build, source: DataFrame, day: str, source_day) -> DataFrame:
     """For marts with a day in their grain: the newest day but one and later are built anew."""
     if existing is None or (newest := existing.agg(F.max(day)).first()[0]) is None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from headway.config import LOCAL_ZONE, Warehouse
 from headway.functions.rounding import float_to_int, numeric, percent
 from headway.functions.time import day_type, local
-
+from headway.operators.enrich import small
 
 
 def staging_positions(raw: DataFrame, config: Warehouse = Warehouse(), zone: str = LOCAL_ZONE) -> DataFrame:
@@ -49,6 +49,11 @@ def feed_health(positions: DataFrame, since: Column | None = None) -> DataFrame:
     return grid.withColumn("_island", island).withColumn("stall_minutes", F.when(F.col("is_silent"), run).otherwise(0)).drop("_island")
 
 
+def health_mart(health: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+    """The published form: with the local wall clock of each minute."""
+    return health.withColumn("minute_local", local(F.col("minute"), zone).cast("timestamp_ntz"))
+
+
 def stall_report(health: DataFrame, config: Warehouse = Warehouse()) -> DataFrame:
     """One row always: the longest silent run that ended in the mart's last minutes, and whether it alerts."""
     newest = health.agg(F.max("minute")).scalar()
@@ -128,7 +133,10 @@ def placed_alerts(alerts: DataFrame, positions: DataFrame, stops: DataFrame, win
     named = latest_stop_names(stops)
     mid = lambda c: (F.col(f"a.{c}") + F.col(f"b.{c}")) / 2
     placed = joined.select(*alerts.columns, mid("latitude").alias("latitude"), mid("longitude").alias("longitude"), stop.alias("stop_id"))
-    return placed.join(F.broadcast(named), "stop_id", "left")
+    named = small(named)
+    if "local_date" in placed.columns:
+        placed = placed.withColumn("day_type", day_type(F.col("local_date")))
+    return placed.join(named, "stop_id", "left")
 
 
 def latest_stop_names(stops: DataFrame) -> DataFrame:

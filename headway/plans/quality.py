@@ -49,9 +49,15 @@ def alert_located(alerts: DataFrame, health: DataFrame, bounds: Bounds = Bounds(
 
 
 def error_grows_with_lead(curve: DataFrame) -> DataFrame:
-    """The median error of the longest leads must exceed that of the shortest: a conditional pivot."""
+    """The median error of the longest leads must exceed that of the shortest, and every forward lead must err on the late side."""
     at = lambda b: F.max(F.when(F.col("lead_bucket") == b, F.col("median_abs_error_s")))
-    return curve.agg(at("0-2m").alias("near"), at("45-60m").alias("far")).filter("near is null or far is null or far <= near")
+    early = F.count_if((F.col("lead_bucket") != "past") & (F.col("mean_error_s") <= 0)).alias("pessimistic")
+    return curve.agg(at("0-2m").alias("near"), at("45-60m").alias("far"), early).filter("near is null or far is null or far <= near or pessimistic > 0")
+
+
+def never_silent(health: DataFrame, first: str, last: str) -> DataFrame:
+    """Silent minutes from first to last, local wall clock: thin service is not silence. health has minute_local."""
+    return health.filter(F.col("is_silent") & F.col("minute_local").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
 
 
 def histogram_is_exact(histogram: DataFrame) -> DataFrame:

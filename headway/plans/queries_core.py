@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.rounding import numeric
 from headway.functions.time import lead_bucket
-from headway.operators import detect, keyed
+from headway.operators import detect, keyed, messages
 from headway.plans import marts, roles
 from headway.plans.define import Registry
 
@@ -200,9 +200,7 @@ def latest_per_key(spark, sf_dir):
     "SELECT event_type, count(*) AS seen, round(avg(CASE WHEN n > 1 AND p IS NOT DISTINCT FROM event_type THEN 1.0 ELSE 0.0 END), 6) AS suppressed FROM (SELECT *, lag(event_type) OVER w AS p, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) GROUP BY event_type",
 )
 def suppression_rate(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = roles.table(spark, sf_dir, "events").withColumn("same", F.coalesce(F.lag("event_type").over(w) == F.col("event_type"), F.lit(False)))
-    return e.groupBy("event_type").agg(F.count("*").alias("seen"), F.round(F.avg(F.col("same").cast("double")), 6).alias("suppressed"))
+    return messages.suppression(roles.table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_type", ["event_type"])
 
 
 @query(
@@ -268,8 +266,5 @@ SELECT user_id, min(gap) AS min_s, max(gap) FILTER (k = n // 2) AS median_s, max
 )
 def cadence(spark, sf_dir):
     """The median is the upper of two middle values."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    at = F.unix_seconds(F.col("ts").cast("timestamp"))
-    gaps = roles.table(spark, sf_dir, "events").withColumn("gap", at - F.lag(at).over(w)).filter("gap is not null")
-    upper = F.element_at(F.array_sort(F.collect_list("gap")), (F.floor(F.count("*") / 2) + 1).cast("int"))
-    return gaps.groupBy("user_id").agg(F.min("gap").alias("min_s"), upper.alias("median_s"), F.max("gap").alias("max_s"))
+    e = roles.table(spark, sf_dir, "events").select("user_id", "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("at"))
+    return messages.cadence(e, ["user_id"], "at", ["event_id"])

@@ -28,8 +28,12 @@ COOLDOWN_SQL = CORE["cooldown_alerts"]
 
 
 def folder(spark) -> str:
-    """A new folder on storage that all executors share."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A new folder on storage that all executors share; only a local master may leave spark.checkpoint.dir unset."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = f"file://{tempfile.gettempdir()}"
     return f"{top.rstrip('/')}/headway-{uuid.uuid4().hex}"
 
 
@@ -78,7 +82,7 @@ CASE WHEN event_id % 97 <> 0 THEN vehicle_id END AS vehicle_id, CASE WHEN event_
 CASE WHEN event_id % 97 <> 0 THEN CAST(current_stop_sequence AS DOUBLE) END AS current_stop_sequence, CASE WHEN event_id % 97 <> 0 THEN round(CAST(CAST(latitude AS FLOAT) AS DOUBLE), 5) END AS latitude FROM positions""",
 )
 def decode_positions(spark, sf_dir):
-    rows = realtime.decode_positions(payloads(spark, sf_dir), Bounds(min_lat=47.51502, max_lat=47.54498))
+    rows = realtime.decode_positions(payloads(spark, sf_dir), bounds=Bounds(min_lat=47.51502, max_lat=47.54498))
     return numbers(rows.select("feed_etag", "reason", "vehicle_id", "trip_id", "current_status", "current_stop_sequence", F.round("latitude", 5).alias("latitude")), "current_stop_sequence")
 
 
@@ -148,11 +152,11 @@ def pair_key(spark, sf_dir):
 
 @query(
     "service_origin",
-    "SELECT o_orderkey, CAST(epoch(CAST(o_orderdate AS DATE)) AS BIGINT) + CASE WHEN (month(o_orderdate), day(o_orderdate)) IN ((1, 1)) OR month(o_orderdate) IN (1, 2, 12) THEN 28800 ELSE 25200 END AS origin_s FROM orders WHERE month(o_orderdate) IN (1, 2, 5, 6, 7, 8, 9, 12)",
+    "SELECT o_orderkey, CAST(epoch(timezone('America/Los_Angeles', CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP))) AS BIGINT) AS origin_s FROM orders",
 )
 def service_origin(spark, sf_dir):
-    """Local midnight on the Pacific coast, in months whose offset is plain."""
-    o = table(spark, sf_dir, "orders").filter(F.month("o_orderdate").isin(1, 2, 5, 6, 7, 8, 9, 12))
+    """Local midnight on the Pacific coast, days on which clocks change included."""
+    o = table(spark, sf_dir, "orders")
     return o.select("o_orderkey", F.unix_seconds(time.service_origin(F.to_date("o_orderdate"))).alias("origin_s"))
 
 
@@ -323,16 +327,13 @@ def streamed(spark, df: DataFrame, files: int = 1, order: str = "position_s") ->
 
 @query(
     "stream_tumbling",
-    f"""WITH {roles.POSITIONS}, w AS (SELECT CAST(floor(position_s / 3600) AS BIGINT) * 3600 + 3600 AS window_end, route_id, direction_id, count(*) AS positions FROM positions GROUP BY ALL)
-SELECT * FROM w WHERE window_end < (SELECT max(position_s) - 86400 FROM positions)""",
+    f"""WITH {roles.POSITIONS}, w AS (SELECT CAST(floor(position_s / 3600) AS BIGINT) * 3600 + 3600 AS window_end, route_id, direction_id, vehicle_id FROM positions)
+SELECT window_end, route_id, direction_id, count(DISTINCT vehicle_id) AS vehicles, count(*) AS positions FROM w WHERE window_end <= (SELECT max(epoch(position_timestamp)) - 360 FROM positions) GROUP BY ALL""",
 )
 def stream_tumbling(spark, sf_dir):
-    """Windows that have surely closed: one file at a time, with room for files that are read out of order."""
+    """The windows that the stream itself closes, read in four files in order of time: those that end by its last watermark."""
     p = roles.positions(spark, sf_dir).select("vehicle_id", "position_timestamp", "position_s", "route_id", "direction_id")
-    last = p.agg(F.max("position_s")).first()[0]
-    stream, batch = jobs.tumbling_counts(streamed(spark, p, 4), roles.DETECTION), jobs.tumbling_counts(p, roles.DETECTION)
-    out = jobs.with_open_windows(stream, batch, folder(spark))
-    return out.select("window_end", "route_id", "direction_id", "positions").filter(F.col("window_end") < last - 86_400)
+    return jobs.run_available(jobs.tumbling_counts(streamed(spark, p, 4), roles.DETECTION), folder(spark))
 
 
 @query("stream_cooldown", re.sub(r"SELECT c\.route_id.*", "SELECT DISTINCT c.pair, c.window_end, c.gap_ft FROM confirmed c JOIN fold f ON f.pair = c.pair AND f.window_end = c.window_end WHERE f.fires", COOLDOWN_SQL, flags=re.S))
@@ -340,7 +341,7 @@ def stream_cooldown(spark, sf_dir):
     """The batch pairs, streamed through the stateful cooldown."""
     pairs = roles.adjacent(spark, sf_dir).select(text.pair_key(F.col("vehicle_id_a"), F.col("vehicle_id_b")).alias("pair"), "window_end", "gap_ft")
     jobs.use_rocksdb(spark)
-    return jobs.run_available(jobs.cooled(streamed(spark, pairs), roles.DETECTION), folder(spark))
+    return jobs.run_available(jobs.cooled(streamed(spark, pairs), roles.DETECTION), folder(spark)).select("pair", "window_end", "gap_ft")
 
 
 @query("stream_dedupe", "SELECT CAST(user_id AS VARCHAR) AS key, event_id AS id, event_type AS value FROM (SELECT *, lag(event_type) OVER w AS p, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE n = 1 OR p IS DISTINCT FROM event_type")

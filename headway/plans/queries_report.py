@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from headway.functions import wire
+from headway.operators import messages
 from headway.plans import marts, quality, report, roles
 from headway.plans.define import Registry
 from headway.plans.queries_core import numbers, with_days
@@ -73,7 +74,7 @@ def last_wins(spark, sf_dir):
 @query(
     "dq_error_grows",
     f"""WITH {roles.ACCURACY_SQL}, c AS (SELECT lead_bucket, CAST(round_even(quantile_cont(abs_error_s, 0.5), 0) AS DOUBLE) AS m FROM accuracy GROUP BY 1),
-p AS (SELECT max(CASE WHEN lead_bucket = '0-2m' THEN m END) AS near, max(CASE WHEN lead_bucket = '45-60m' THEN m END) AS far FROM c) SELECT near, far FROM p WHERE near IS NULL OR far IS NULL OR far <= near""",
+p AS (SELECT max(CASE WHEN lead_bucket = '0-2m' THEN m END) AS near, max(CASE WHEN lead_bucket = '45-60m' THEN m END) AS far FROM c) SELECT near, far, pessimistic FROM p, (SELECT count(*) AS pessimistic FROM (SELECT lead_bucket, round_even(avg(error_s), 0) AS e FROM accuracy GROUP BY 1) WHERE lead_bucket <> 'past' AND e <= 0) WHERE near IS NULL OR far IS NULL OR far <= near OR pessimistic > 0""",
 )
 def dq_error_grows(spark, sf_dir):
     a = with_days(spark, sf_dir)
@@ -102,9 +103,7 @@ def reframe(spark, sf_dir):
     whole, kind = F.concat(F.lit('{"window_end":'), at, F.lit("}")), F.col("event_id") % 4
     raw = F.when(kind == 0, wire.frame(whole, F.lit(7))).when(kind == 1, F.concat(F.lit('{"window_end":'), at, F.lit(".0}")).cast("binary")).when(kind == 2, F.lit("junk").cast("binary"))
     m = roles.table(spark, sf_dir, "events").select("event_id", kind.alias("kind"), raw.alias("m"))
-    body = F.coalesce(wire.unframe(F.col("m")), F.col("m")).cast("string")
-    clean = F.when(F.expr("try_parse_json(cast(coalesce(m, cast('' as binary)) as string))").isNotNull() | wire.framed(F.col("m")), F.regexp_replace(body, r"(\d+)\.0+\b", "$1"))
-    return m.select("event_id", "kind", wire.unframe(wire.frame(clean, F.lit(7))).cast("string").alias("payload"))
+    return m.select("event_id", "kind", wire.unframe(messages.reframed(F.col("m"), F.lit(7))).cast("string").alias("payload"))
 
 
 @query("dq_stall_detected", f"WITH {roles.HEALTH_SQL} SELECT CAST(epoch(minute) AS BIGINT) AS minute, stall_minutes FROM health WHERE stall_minutes >= 20")
@@ -124,12 +123,12 @@ def cast_contract(spark, sf_dir):
     return conform(roles.table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").cast("string").alias("id")), declared)
 
 
-@query("merge_partitions", "SELECT CAST(o_orderkey % 100 AS BIGINT) AS k, max(o_orderkey) AS n, CAST(o_orderdate AS VARCHAR) AS day FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS o_orderdate FROM orders WHERE month(o_orderdate) < 3) GROUP BY ALL")
+@query("merge_partitions", "SELECT CAST(o_orderkey % 100 AS BIGINT) AS k, max(o_orderkey) AS n, CAST(o_orderdate AS VARCHAR) AS day FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS o_orderdate FROM orders) GROUP BY ALL")
 def merge_partitions(spark, sf_dir):
     """Two batches into a partitioned table, the second twice."""
     from headway.plans.queries_more import folder
 
-    o = roles.table(spark, sf_dir, "orders").filter(F.month("o_orderdate") < 3)
+    o = roles.table(spark, sf_dir, "orders")
     rows = o.groupBy((F.col("o_orderkey") % 100).alias("k"), F.date_format("o_orderdate", "yyyy-MM").alias("day"), (F.col("o_orderkey") % 2).alias("half")).agg(F.max("o_orderkey").alias("n"))
     path = folder(spark)
     for half in (0, 1, 1):

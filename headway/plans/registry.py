@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from headway.plans import queries_core, queries_joins, queries_more, queries_report
+from headway.plans import queries_core, queries_joins, queries_more, queries_ops, queries_report
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _module in (queries_core, queries_joins, queries_more, queries_report):
+for _module in (queries_core, queries_joins, queries_more, queries_report, queries_ops):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES

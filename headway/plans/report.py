@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.config import LOCAL_ZONE, Warehouse
 from headway.functions.text import pair_key
 from headway.functions.time import local
 
@@ -37,6 +38,31 @@ def causes(alerts: DataFrame, gate: int = 4) -> DataFrame:
     return alerts.groupBy(cause.alias("cause"), low.alias("sequence_class")).agg(F.count("*").alias("alerts"), F.round(F.percentile("gap_ft", F.lit(0.5)), 1).alias("median_gap_ft"))
 
 
+def by_route(baseline: DataFrame, variant: DataFrame) -> DataFrame:
+    """route_short_name and its alerts in both runs, most alerts first."""
+    side = lambda df, n: df.select("route_short_name", F.lit(n).alias("run"))
+    both = side(baseline, 0).unionByName(side(variant, 1))
+    rows = both.groupBy("route_short_name").agg(F.count_if(F.col("run") == 0).alias("baseline"), F.count_if(F.col("run") == 1).alias("variant"))
+    return rows.orderBy(F.desc(F.col("baseline") + F.col("variant")), F.asc_nulls_last("route_short_name"))
+
+
+def added_by_route(added: DataFrame, routes: int = 8, stops: int = 3) -> DataFrame:
+    """Alerts (route_short_name, gap_ft, stop) that only the variant has: the routes with most, their median gap and top stops."""
+    totals = added.groupBy("route_short_name").agg(F.count("*").alias("added"), F.percentile("gap_ft", F.lit(0.5)).alias("median_gap_ft"))
+    each = added.groupBy("route_short_name", "stop").agg(F.count("*").alias("n"))
+    order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.coalesce("stop", F.lit("?")).alias("s"))))
+    top = each.groupBy("route_short_name").agg(F.array_join(F.transform(F.slice(order, 1, stops), lambda x: F.concat(x["s"], F.lit(":"), (-x["k"]).cast("string"))), ",").alias("stops"))
+    a, b = totals.alias("a"), top.alias("b")
+    joined = a.join(b, F.col("a.route_short_name").eqNullSafe(F.col("b.route_short_name"))).select("a.route_short_name", "added", "median_gap_ft", "stops")
+    return joined.orderBy(F.desc("added"), F.asc_nulls_last("route_short_name")).limit(routes)
+
+
+def peak_share(alerts: DataFrame, peak: tuple[int, ...] = Warehouse().peak_hours, zone: str = LOCAL_ZONE) -> DataFrame:
+    """One row: alerts, and the share of them in the local peak hours."""
+    hour = F.hour(local(F.timestamp_seconds("window_end"), zone))
+    return alerts.agg(F.count("*").alias("alerts"), F.round(F.coalesce(F.count_if(hour.isin(*peak)) / F.count("*"), F.lit(0.0)), 4).alias("peak_share"))
+
+
 def mismatches_by_minute(df: DataFrame, at: str, zone: str) -> DataFrame:
     """Counts by minute of the local day."""
     return df.groupBy(F.date_format(local(F.timestamp_seconds(at), zone), "HH:mm").alias("minute")).agg(F.count("*").alias("n"))

@@ -115,13 +115,13 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 ACCURACY_SQL = """
 predictions AS (SELECT strftime(ts, '%Y%m%d') AS service_day, CAST(user_id AS VARCHAR) AS trip_id, CAST(floor(epoch(ts)) AS BIGINT) AS issued_at,
   CAST(floor(epoch(ts)) AS BIGINT) + CAST(floor(value) AS BIGINT) * 9 - 300 AS predicted_arrival FROM events WHERE event_type = 'click'),
-newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY service_day, trip_id ORDER BY issued_at DESC, predicted_arrival DESC) AS n FROM predictions) WHERE n <= 120),
 arrivals AS (SELECT strftime(ts, '%Y%m%d') AS service_day, CAST(user_id AS VARCHAR) AS trip_id, min(user_id % 20) AS route, min(CAST(floor(epoch(ts)) AS BIGINT)) AS observed_at FROM events WHERE event_type = 'purchase' GROUP BY ALL),
+newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY service_day, trip_id ORDER BY issued_at DESC, predicted_arrival DESC) AS n FROM predictions JOIN arrivals USING (service_day, trip_id) WHERE issued_at < observed_at) WHERE n <= 120),
 accuracy AS (SELECT *, CASE WHEN lead_time_s < 0 THEN 'past' WHEN lead_time_s < 120 THEN '0-2m' WHEN lead_time_s < 300 THEN '2-5m' WHEN lead_time_s < 600 THEN '5-10m' WHEN lead_time_s < 900 THEN '10-15m'
     WHEN lead_time_s < 1200 THEN '15-20m' WHEN lead_time_s < 1800 THEN '20-30m' WHEN lead_time_s < 2700 THEN '30-45m' ELSE '45-60m' END AS lead_bucket, abs(error_s) AS abs_error_s
   FROM (SELECT service_day, trip_id, 'p' AS stop_id, CAST(route AS VARCHAR) AS route_id, 'R' || route AS route_short_name, issued_at, predicted_arrival, observed_at,
-      predicted_arrival - issued_at AS lead_time_s, predicted_arrival - observed_at AS error_s FROM newest JOIN arrivals USING (service_day, trip_id))
-  WHERE issued_at < observed_at AND lead_time_s <= 3600)"""
+      predicted_arrival - issued_at AS lead_time_s, predicted_arrival - observed_at AS error_s FROM newest)
+  WHERE lead_time_s <= 3600)"""
 
 
 def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:

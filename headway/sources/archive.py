@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.sources import store
+
 KEY = r"raw/([^/]+)/(\d{4})/(\d{2})/(\d{2})/(\d{2})/(\d+)-([^/]+)\.([A-Za-z0-9]+)$"
 
 
@@ -37,6 +39,14 @@ def scan(spark: SparkSession, root: str, feed: str, start: int, end: int) -> Dat
     return rows.select(F.col("key.epoch").alias("fetched_s"), F.concat(F.lit('"'), F.col("key.etag"), F.lit('"')).alias("feed_etag"), "content").orderBy("fetched_s")
 
 
+def put(spark: SparkSession, root: str, feed: str, epoch: int, etag: str | None, ext: str, content: bytes) -> str:
+    """Archive a payload before anything decodes it; the same fetch again leaves what is there. Its path."""
+    tag = (etag or "no-etag").removeprefix("W/").strip('"')
+    path = f"{root}/{object_name(feed, epoch, tag, ext)}"
+    store.put(spark, path, content, overwrite=False)
+    return path
+
+
 def object_name(feed: str, epoch: int, etag: str, ext: str) -> str:
     import datetime
 

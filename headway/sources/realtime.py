@@ -87,7 +87,7 @@ def positions_of(payload: bytes):
         vehicle = message(entity[4])
         trip, place, who = (message(vehicle.get(k)) for k in (1, 2, 8))
         yield {
-            "vehicle_id": text(who.get(1)) or text(entity.get(1)), "position_s": vehicle.get(5) or header, "trip_id": text(trip.get(1)), "route_id": text(trip.get(5)), "direction_id": trip.get(6), "start_date": text(trip.get(3)),
+            "vehicle_id": text(who.get(1)), "position_s": vehicle.get(5) or header, "trip_id": text(trip.get(1)), "route_id": text(trip.get(5)), "direction_id": trip.get(6), "start_date": text(trip.get(3)),
             "latitude": real(place.get(1)), "longitude": real(place.get(2)), "bearing": real(place.get(3)), "speed": real(place.get(5)), "current_status": name(STATUS, vehicle.get(4)) or "IN_TRANSIT_TO",
             "current_stop_sequence": vehicle.get(3), "stop_id": text(vehicle.get(7)), "occupancy_status": name(OCCUPANCY, vehicle.get(9)),
         }
@@ -114,38 +114,64 @@ POSITION_COLUMNS = "vehicle_id string, position_s long, trip_id string, route_id
 UPDATE_COLUMNS = "trip_id string, stop_id string, stop_sequence int, route_id string, direction_id int, start_date string, vehicle_id string, trip_s long, arrival_s long, arrival_delay int, departure_s long, departure_delay int, schedule_relationship string"
 
 
-def _decoded(payloads: DataFrame, parse, columns: str) -> DataFrame:
-    """feed_etag and records of all payloads; a malformed payload is one row with an error and no record."""
-    names = [c.split()[0] for c in columns.split(", ")]
+def _decoded(payloads: DataFrame, parse, columns: str, unfit, carry: tuple[str, ...]) -> DataFrame:
+    """feed_etag, carried columns, error, rejected and records of all payloads.
+
+    A malformed payload is one row with an error and no record. rejected is the payload of rows with an error, and of records
+    that unfit says can't be published, so that dead letters need no second look at the payloads.
+    """
+    names, kinds = zip(*(c.split() for c in columns.split(", ")))
     types = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
-    schema = pa.schema([("feed_etag", pa.string()), ("error", pa.string()), *((c.split()[0], types[c.split()[1]]) for c in columns.split(", "))])
+    extra = [f for f in payloads.schema.fields if f.name in carry]
 
     def run(batches):
         for batch in batches:
-            rows: list = []
-            for etag, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                try:
-                    rows += [{"feed_etag": etag, "error": None, **r} for r in list(parse(content or b""))]
-                except Malformed as e:
-                    rows.append({"feed_etag": etag, "error": str(e), **dict.fromkeys(names)})
-                if len(rows) >= 4096:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                    rows = []
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            take, errors, rejected, data = [], [], [], [[] for _ in names]
 
-    return payloads.select("feed_etag", "content").mapInArrow(run, f"feed_etag string, error string, {columns}")
+            def flush():
+                kept = [batch.column(c).take(pa.array(take, pa.int64())) for c in range(1 + len(extra))]
+                made = [*kept, pa.array(errors, pa.string()), pa.array(rejected, pa.binary()), *(pa.array(d, types[k]) for d, k in zip(data, kinds))]
+                out = pa.record_batch(made, names=["feed_etag", *[f.name for f in extra], "error", "rejected", *names])
+                for c in (take, errors, rejected, *data):
+                    c.clear()
+                return out
 
-
-def decode_positions(payloads: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
-    """Positions with reason: null, malformed_payload, missing_required_field or position_out_of_bounds; nothing is dropped."""
-    rows = _decoded(payloads, positions_of, POSITION_COLUMNS)
+            for i, content in enumerate(batch.column(1 + len(extra)).to_pylist()):
+                try:
+                    records, error = list(parse(content or b"")), None
+                except Malformed as e:
+                    records, error = [{}], str(e)
+                for r in records:
+                    take.append(i)
+                    errors.append(error)
+                    rejected.append(content if error or unfit(r) else None)
+                    for d, n in zip(data, names):
+                        d.append(r.get(n))
+                if len(take) >= 4096:
+                    yield flush()
+            yield flush()
+
+    fixed = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in extra)
+    return payloads.select("feed_etag", *[f.name for f in extra], "content").mapInArrow(run, f"feed_etag string, {fixed}error string, rejected binary, {columns}")
+
+
+def decode_positions(payloads: DataFrame, carry: tuple[str, ...] = (), bounds: Bounds = Bounds()) -> DataFrame:
+    """Positions with reason: null, malformed_payload, missing_required_field or position_out_of_bounds; nothing is dropped.
+
+    rejected is the payload where there is a reason; carry names further columns of the payloads to keep.
+    """
+    def unfit(r: dict) -> bool:
+        lat, lon = r["latitude"], r["longitude"]
+        return r["vehicle_id"] is None or r["position_s"] is None or lat is None or lon is None or not (bounds.min_lat <= lat <= bounds.max_lat and bounds.min_lon <= lon <= bounds.max_lon)
+
+    rows = _decoded(payloads, positions_of, POSITION_COLUMNS, unfit, carry)
     missing = F.col("vehicle_id").isNull() | F.col("position_s").isNull()
     reason = F.when(F.col("error").isNotNull(), "malformed_payload").when(missing, "missing_required_field").when(~in_bounds(F.col("latitude"), F.col("longitude"), bounds), "position_out_of_bounds")
     return rows.withColumn("reason", reason).withColumn("position_timestamp", F.timestamp_seconds("position_s")).withColumn("start_date", gtfs_date(F.col("start_date"))).drop("position_s", "error")
 
 
-def decode_trip_updates(payloads: DataFrame) -> DataFrame:
-    rows = _decoded(payloads, trip_updates_of, UPDATE_COLUMNS)
+def decode_trip_updates(payloads: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    rows = _decoded(payloads, trip_updates_of, UPDATE_COLUMNS, lambda r: r["trip_id"] is None or r["stop_id"] is None, carry)
     stamps = {f"{c}_time" if c != "trip" else "trip_timestamp": F.timestamp_seconds(f"{c}_s") for c in ("trip", "arrival", "departure")}
     reason = F.when(F.col("error").isNotNull(), "malformed_payload").when(F.col("trip_id").isNull() | F.col("stop_id").isNull(), "missing_required_field")
     return rows.withColumns(stamps).withColumn("start_date", gtfs_date(F.col("start_date"))).withColumn("reason", reason).drop("trip_s", "arrival_s", "departure_s", "error")
@@ -156,13 +182,13 @@ description_text: struct<translation: array<struct<text: string, language: strin
 active_period: array<struct<start: bigint, end: bigint>>, informed_entity: array<map<string, string>>, last_modified_timestamp: bigint>>>>"""
 
 
-def decode_alerts(payloads: DataFrame) -> DataFrame:
+def decode_alerts(payloads: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """(feed_etag, content as JSON text): one row for each alert with an id, its first active period; malformed JSON is one row with a reason."""
-    parsed = payloads.select("feed_etag", F.from_json(F.col("content").cast("string"), ALERTS.replace("\n", " ")).alias("p"), F.expr("try_parse_json(cast(content as string)) is null").alias("bad"))
-    rows = parsed.select("feed_etag", "bad", F.explode_outer("p.entity").alias("e")).filter("bad or (e.id is not null and e.id <> '' and e.alert is not null)")
+    parsed = payloads.select("feed_etag", *carry, F.col("content").cast("binary").alias("_raw"), F.from_json(F.col("content").cast("string"), ALERTS.replace("\n", " ")).alias("p"), F.expr("try_parse_json(cast(content as string)) is null").alias("bad"))
+    rows = parsed.select("feed_etag", *carry, "bad", F.when(F.col("bad"), F.col("_raw")).alias("rejected"), F.explode_outer("p.entity").alias("e")).filter("bad or (e.id is not null and e.id <> '' and e.alert is not null)")
     a, period = F.col("e.alert"), F.get(F.col("e.alert.active_period"), F.lit(0))
     return rows.select(
-        "feed_etag", F.when(F.col("bad"), "malformed_payload").alias("reason"), F.col("e.id").alias("alert_id"), a["cause"].alias("cause"), a["effect"].alias("effect"), a["severity_level"].alias("severity_level"),
+        "feed_etag", *carry, "rejected", F.when(F.col("bad"), "malformed_payload").alias("reason"), F.col("e.id").alias("alert_id"), a["cause"].alias("cause"), a["effect"].alias("effect"), a["severity_level"].alias("severity_level"),
         *[empty_to_null(english_text(a[c]["translation"])).alias(c) for c in ("header_text", "description_text", "url")],
         unset_to_null(period["start"]).alias("active_period_start"), unset_to_null(period["end"]).alias("active_period_end"), a["informed_entity"].alias("informed_entities"), unset_to_null(a["last_modified_timestamp"]).alias("last_modified"),
     )
@@ -171,5 +197,5 @@ def decode_alerts(payloads: DataFrame) -> DataFrame:
 DECODERS = {"vehicle_positions": decode_positions, "trip_updates": decode_trip_updates, "service_alerts": decode_alerts}
 
 
-def decode(feed: str, payloads: DataFrame) -> DataFrame:
-    return DECODERS[feed](payloads)
+def decode(feed: str, payloads: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    return DECODERS[feed](payloads, carry)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.wire import dlq_envelope
 from headway.operators.keyed import upsert
+from headway.sources.store import delete, exists, names
 
 
 def serialize(df: DataFrame, key: str) -> DataFrame:
@@ -22,11 +23,6 @@ def dead_letters(df: DataFrame, reason: Column, detail: Column, key: Column, pay
     return df.select(key.cast("string").alias("key"), dlq_envelope(reason, detail, key.cast("string"), payload).alias("value"))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def merge_partitions(incoming: DataFrame, path: str, keys: list[str], order: str, day: str = "event_date") -> None:
     """Last write wins for each key, only in the day partitions that incoming touches; replays change nothing.
 
@@ -57,6 +53,31 @@ def partitions_to_drop(names: list[str], cutoff: str) -> list[str]:
     return sorted(n for n in names if (m := re.search(r"_(\d{8})$", n)) and m[1] < cutoff)
 
 
+def drop_partitions(spark: SparkSession, path: str, cutoff: str, day: str = "event_date") -> list[str]:
+    """Delete the day folders (day=YYYY-MM-DD) of a table strictly before the cutoff; their days. Other folders stay."""
+    old = [n for n in names(spark, path) if re.fullmatch(rf"{re.escape(day)}=\d{{4}}-\d{{2}}-\d{{2}}", n) and n.partition("=")[2] < cutoff]
+    for n in old:
+        delete(spark, f"{path}/{n}")
+    return [n.partition("=")[2] for n in old]
+
+
+def write_clustered(df: DataFrame, path: str, day: str, time: str) -> None:
+    """Append by day, sorted by time within files, so that a reader's time filter skips row groups by their least and greatest."""
+    df.repartition(day).sortWithinPartitions(day, time).write.mode("append").partitionBy(day).parquet(path)
+
+
+def upsert_alerts(incoming: DataFrame, path: str) -> None:
+    """Alerts by pair and window; the newest gap wins, so a replay changes nothing."""
+    dated = incoming.withColumn("event_date", F.to_date(F.timestamp_seconds("window_end")))
+    merge_partitions(dated, path, ["vehicle_id_a", "vehicle_id_b", "window_end", "event_date"], "gap_ft")
+
+
+def upsert_accuracy(incoming: DataFrame, path: str) -> None:
+    """Joined predictions by service day, trip, stop and time of issue."""
+    dated = incoming.withColumn("event_date", F.to_date(F.timestamp_seconds("observed_at")))
+    merge_partitions(dated, path, ["service_day", "trip_id", "stop_id", "issued_at", "event_date"], "predicted_arrival")
+
+
 def publish_version(tables: dict[str, DataFrame], path: str, version_id: int, info: dict) -> None:
     """Write a version of reference data; its manifest comes last, so a version is ready only when whole."""
     spark = next(iter(tables.values())).sparkSession

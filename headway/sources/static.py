@@ -31,8 +31,8 @@ def read_member(spark: SparkSession, path: str, name: str, version_id: int) -> D
 
 def feed_info(member: DataFrame) -> DataFrame:
     """The first row, or one of nulls."""
-    first = member.limit(1)
-    return first.unionByName(member.sparkSession.createDataFrame([tuple([None] * len(member.columns))], member.schema)).limit(1)
+    blank = member.sparkSession.range(1).select(*[F.lit(None).cast(kind).alias(c) for c, kind in member.dtypes])
+    return member.limit(1).unionByName(blank).limit(1)
 
 
 def read_neighborhoods(spark: SparkSession, path: str, expected: int | None = None) -> DataFrame:

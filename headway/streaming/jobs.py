@@ -18,8 +18,11 @@ from pyspark.sql.streaming.state import GroupState
 from headway.config import Accuracy, Bunching
 from headway.functions.geo import haversine_ft
 from headway.functions.text import pair_key
-from headway.operators.detect import cooldown_step, parse_records
+from headway.operators.detect import cooldown_run, cooldown_step, parse_records
+from headway.sources.enriched import decode_enriched
+from headway.sources.sinks import exists
 
+STATE = "pair string, n int, last bigint, alert bigint"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -31,7 +34,7 @@ def tumbling_counts(positions: DataFrame, config: Bunching = Bunching()) -> Data
     """route_id, direction_id, window_end, vehicles, positions of each closed window."""
     timed = positions.withWatermark("position_timestamp", f"{config.lateness_s} seconds")
     grouped = timed.groupBy(F.window("position_timestamp", f"{config.window_s} seconds"), "route_id", "direction_id")
-    return grouped.agg(F.approx_count_distinct("vehicle_id", 0.01).alias("vehicles"), F.count("*").alias("positions")).select(F.unix_seconds("window.end").alias("window_end"), "route_id", "direction_id", "vehicles", "positions")
+    return grouped.agg(F.size(F.collect_set("vehicle_id")).cast("long").alias("vehicles"), F.count("*").alias("positions")).select(F.unix_seconds("window.end").alias("window_end"), "route_id", "direction_id", "vehicles", "positions")
 
 
 def windowed_pairs(positions: DataFrame, config: Bunching = Bunching()) -> DataFrame:
@@ -40,17 +43,21 @@ def windowed_pairs(positions: DataFrame, config: Bunching = Bunching()) -> DataF
     timed = parse_records(positions).withWatermark("position_timestamp", f"{config.lateness_s} seconds")
     window = F.window("position_timestamp", f"{config.window_s} seconds")
     closed = timed.groupBy(window, "route_id", "direction_id").agg(F.collect_list(fields).alias("all"))  # a window of one route and direction
-    later = lambda v: F.exists(F.col("all"), lambda o: (o["vehicle_id"] == v["vehicle_id"]) & (o["position_timestamp"] > v["position_timestamp"]))
     end = F.unix_seconds("window.end")
-    moving = lambda v: (v["shape_dist_traveled"] >= config.min_progress_ft) & (F.coalesce(v["current_stop_sequence"], F.lit(0)) >= config.min_stop_sequence) & (end - F.unix_seconds(v["position_timestamp"]) <= config.max_age_s)
-    kept = closed.select(end.alias("window_end"), "route_id", "direction_id", F.array_sort(F.filter("all", lambda v: moving(v) & ~later(v))).alias("v"))
+    moving = lambda v: (v["shape_dist_traveled"] >= config.min_progress_ft) & (F.coalesce(v["current_stop_sequence"], F.lit(0)) >= config.min_stop_sequence) & (F.col("window_end") - F.unix_seconds(v["position_timestamp"]) <= config.max_age_s)
+    # each vehicle's latest position, of equal times that of the least trip: the first of the vehicle's in this order
+    rank = lambda v: F.struct(v["vehicle_id"].alias("v"), (-F.unix_micros(v["position_timestamp"])).alias("t"), v["trip_id"].isNull().alias("n"), v["trip_id"].alias("trip"), v.alias("row"))
+    ordered = closed.select(end.alias("window_end"), "route_id", "direction_id", F.array_sort(F.transform("all", rank)).alias("o"))
+    latest = F.transform(F.filter("o", lambda x, i: (i == 0) | (F.get("o", i - 1)["v"] != x["v"])), lambda x: x["row"])
+    kept = ordered.select("window_end", "route_id", "direction_id", F.array_sort(F.filter(latest, lambda v: moving(v))).alias("v"))
     pairs = F.zip_with(F.slice("v", F.lit(1), F.greatest(F.size("v") - 1, F.lit(0))), F.slice("v", F.lit(2), F.greatest(F.size("v") - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     rows = kept.select("window_end", "route_id", "direction_id", F.explode(pairs).alias("p")).select("window_end", "route_id", "direction_id", "p.*")
     gap = F.col("b.shape_dist_traveled") - F.col("a.shape_dist_traveled")
     near = haversine_ft(F.col("a.latitude"), F.col("a.longitude"), F.col("b.latitude"), F.col("b.longitude")) <= F.greatest(gap, F.lit(config.gap_ft)) * config.proximity_margin
     return rows.filter((gap < config.gap_ft) & near).select(
-        "route_id", "direction_id", F.col("a.vehicle_id").alias("vehicle_id_a"), F.col("b.vehicle_id").alias("vehicle_id_b"), gap.alias("gap_ft"), "window_end",
-        pair_key(F.col("a.vehicle_id"), F.col("b.vehicle_id")).alias("pair"),
+        "route_id", "direction_id", F.col("a.route_short_name").alias("route_short_name"), F.col("a.vehicle_id").alias("vehicle_id_a"), F.col("b.vehicle_id").alias("vehicle_id_b"),
+        F.col("a.trip_id").alias("trip_id_a"), F.col("b.trip_id").alias("trip_id_b"), gap.alias("gap_ft"), "window_end",
+        F.col("a.schedule_deviation_seconds").alias("deviation_a"), F.col("b.schedule_deviation_seconds").alias("deviation_b"), pair_key(F.col("a.vehicle_id"), F.col("b.vehicle_id")).alias("pair"),
     )
 
 
@@ -68,7 +75,7 @@ class Cooldown(StatefulProcessor):
         for r in sorted(rows, key=lambda r: r.window_end):
             fires, n, last, alert = cooldown_step(n, last, alert, r.window_end, self.config)
             if fires:
-                yield Row(pair=key[0], window_end=r.window_end, gap_ft=r.gap_ft)
+                yield Row(**{c: r[c] for c in r.asDict()})
         self.state.update((n, last, alert))
 
     def close(self) -> None:
@@ -76,7 +83,29 @@ class Cooldown(StatefulProcessor):
 
 
 def cooled(pairs: DataFrame, config: Bunching = Bunching()) -> DataFrame:
-    return pairs.select("pair", "window_end", "gap_ft").groupBy("pair").transformWithState(Cooldown(config), "pair string, window_end bigint, gap_ft double", "Append", "None")
+    """The rows of pairs (with pair and window_end) that alert, all their columns."""
+    return pairs.groupBy("pair").transformWithState(Cooldown(config), pairs.schema, "Append", "None")
+
+
+def bunching_job(messages: DataFrame, alerts_path: str, config: Bunching = Bunching(), trigger: dict | None = None):
+    """Framed enriched records (column value) to alerts: decode, windows and pairs in one query, the cooldown as each batch closes.
+
+    The windows are stateful, so the cooldown's state is kept beside the alerts and joined batch by batch: a pair's run, last
+    window and last alert. A batch that is run again finds the state it began with and gives the same alerts.
+    """
+    spark = messages.sparkSession
+    decoded = decode_enriched(messages).filter("decoded").withColumn("position_timestamp", F.timestamp_seconds("position_timestamp"))
+    pairs = windowed_pairs(decoded, config)
+
+    def step(batch: DataFrame, n: int) -> None:
+        before = f"{alerts_path}/state/{n - 1}"
+        old = spark.read.schema(STATE).parquet(before) if n and exists(spark, before) else spark.createDataFrame([], STATE)
+        new = batch.groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("window_end", F.struct(*[c for c in batch.columns if c != "pair"]).alias("row")))).alias("rows"))
+        fold = new.join(old, "pair", "full_outer").withColumn("f", cooldown_run(F.coalesce("rows", F.array().cast(new.schema["rows"].dataType)), F.col("n"), F.col("last"), F.col("alert"), config))
+        fold.select("pair", "f.n", "f.last", "f.alert").write.mode("overwrite").parquet(f"{alerts_path}/state/{n}")
+        fold.select("pair", F.explode("f.out").alias("row")).select("row.*", "pair").write.mode("overwrite").parquet(f"{alerts_path}/alerts/batch={n}")
+
+    return pairs.writeStream.outputMode("append").option("checkpointLocation", f"{alerts_path}/checkpoint").trigger(**(trigger or {"availableNow": True})).foreachBatch(step).start()
 
 
 def arrivals_step(key, rows: list[tuple], observed: int | None, waiting: list[tuple], config: Accuracy):
