@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from headway import ingest
-from headway.config import Warehouse
-from headway.operators import accuracy, enrich, keyed, messages
+from headway.config import Bunching, Warehouse
+from headway.functions import text
+from headway.operators import accuracy, detect, enrich, keyed, messages
 from headway.plans import exports, incremental, marts, quality, report, roles
 from headway.plans.define import Registry
 from headway.plans.queries_core import health, numbers, seconds
@@ -297,6 +299,50 @@ def export_health_days(spark, sf_dir):
     return spark.createDataFrame([(str(r["date"]), r["minutes"], r["silent_minutes"], r["live_share"], r["positions"]) for r in rows], "date string, minutes long, silent_minutes long, live_share double, positions long")
 
 
+# --- detection under thresholds that many rows meet ---
+
+
+PAIRS_OF_HOURS = f"""windows AS (SELECT DISTINCT CAST(user_id % 4 AS VARCHAR) || '|' || CAST(user_id % 4 + 4 AS VARCHAR) AS pair, {SECONDS} // 3600 * 3600 AS window_end FROM events),
+breaks AS (SELECT *, CASE WHEN window_end - lag(window_end) OVER (PARTITION BY pair ORDER BY window_end) <= 3600 THEN 0 ELSE 1 END AS b FROM windows),
+runs AS (SELECT pair, window_end, sum(b) OVER (PARTITION BY pair ORDER BY window_end) AS run FROM breaks),
+ordered AS (SELECT pair, window_end, row_number() OVER (PARTITION BY pair, run ORDER BY window_end) AS place, row_number() OVER (PARTITION BY pair ORDER BY window_end) AS k FROM runs),
+fold AS (SELECT pair, k, window_end, place >= 2 AS fires, CASE WHEN place >= 2 THEN window_end END AS alert FROM ordered WHERE k = 1
+  UNION ALL SELECT o.pair, o.k, o.window_end, o.place >= 2 AND (f.alert IS NULL OR o.window_end - f.alert >= 14400), CASE WHEN o.place >= 2 AND (f.alert IS NULL OR o.window_end - f.alert >= 14400) THEN o.window_end ELSE f.alert END
+  FROM fold f JOIN ordered o ON o.pair = f.pair AND o.k = f.k + 1)"""
+
+
+def _hourly_pairs(spark, sf_dir):
+    """Each hour in which users of a remainder have events, as a window of a pair."""
+    k, at = F.col("user_id") % 4, F.unix_seconds(F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").select(k.cast("string").alias("vehicle_id_a"), (k + 4).cast("string").alias("vehicle_id_b"), (F.floor(at / 3600) * 3600).alias("window_end")).distinct()
+
+
+@query("cooldown_many", f"WITH RECURSIVE {PAIRS_OF_HOURS} SELECT pair, window_end FROM fold WHERE fires")
+def cooldown_many(spark, sf_dir):
+    alerts = detect.cooled_alerts(_hourly_pairs(spark, sf_dir), Bunching(window_s=3600, cooldown_s=14_400))
+    return alerts.select(text.pair_key(F.col("vehicle_id_a"), F.col("vehicle_id_b")).alias("pair"), "window_end")
+
+
+@query("stream_cooldown_many", f"WITH RECURSIVE {PAIRS_OF_HOURS} SELECT pair, window_end FROM fold WHERE fires")
+def stream_cooldown_many(spark, sf_dir):
+    """The same windows through the stateful cooldown, in four files in order of time."""
+    p = _hourly_pairs(spark, sf_dir).select(text.pair_key(F.col("vehicle_id_a"), F.col("vehicle_id_b")).alias("pair"), "window_end")
+    jobs.use_rocksdb(spark)
+    return jobs.run_available(jobs.cooled(streamed(spark, p, 4, "window_end"), Bunching(window_s=3600, cooldown_s=14_400)), folder(spark))
+
+
+@query(
+    "gates_fresh",
+    f"""WITH {roles.POSITIONS}, latest AS (SELECT * FROM (SELECT *, CAST(floor(position_s / 3600) AS BIGINT) * 3600 + 3600 AS window_end,
+    row_number() OVER (PARTITION BY CAST(floor(position_s / 3600) AS BIGINT), route_id, direction_id, vehicle_id ORDER BY position_timestamp DESC) AS n FROM positions) WHERE n = 1)
+SELECT vehicle_id, window_end FROM latest WHERE window_end - position_s <= 900 AND shape_dist_traveled >= 100 AND coalesce(current_stop_sequence, 0) >= 4""",
+)
+def gates_fresh(spark, sf_dir):
+    """An age that cuts most positions of an hour."""
+    config = replace(roles.DETECTION, max_age_s=900)
+    return detect.gates(detect.latest_in_window(detect.parse_records(roles.positions(spark, sf_dir)), config), config).select("vehicle_id", "window_end")
+
+
 # --- the streaming job ---
 
 
@@ -308,8 +354,6 @@ def stream_bunching_job(spark, sf_dir):
     """Framed records through decode, windows, pairs and cooldown: rows in which its alerts differ from the batch form's."""
     config = roles.DETECTION
     p = roles.positions(spark, sf_dir).withColumn("position_timestamp", F.col("position_s"))
-    from headway.operators import detect
-
     path = folder(spark)
     jobs.bunching_job(streamed(spark, enriched.encode_enriched(p.drop("enriched_at"), 3)), path, config).awaitTermination()
     last = p.agg(F.max("position_s")).first()[0] or 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.wire import dlq_envelope
 from headway.operators.keyed import upsert
-from headway.sources.store import delete, exists, names
+from headway.sources.store import delete, exists, get, names, put
 
 
 def serialize(df: DataFrame, key: str) -> DataFrame:
@@ -102,5 +102,16 @@ def export_geojson(points: DataFrame, window: dict, lon: str = "longitude", lat:
 
 
 def fixture_csv(df: DataFrame, path: str, keys: list[str]) -> None:
-    """A small ordered slice as one gzipped CSV file."""
+    """A small ordered slice as one gzipped CSV file, and a manifest of its columns and rows."""
     df.orderBy(*keys).coalesce(1).write.mode("overwrite").csv(path, header=True, compression="gzip")
+    put(df.sparkSession, f"{path}.manifest.json", json.dumps({"columns": df.dtypes, "rows": df.count()}, sort_keys=True).encode())
+
+
+def read_fixture(spark: SparkSession, path: str) -> DataFrame:
+    """A slice that fixture_csv wrote, with its types; another number of rows than its manifest says is an error."""
+    said = json.loads(get(spark, f"{path}.manifest.json"))
+    rows = spark.read.csv(path, header=True)
+    out = rows.select(*[F.col(c).cast(kind).alias(c) for c, kind in said["columns"]])
+    if (n := out.count()) != said["rows"]:
+        raise ValueError(f"{path} has {n} rows, {said['rows']} expected")
+    return out

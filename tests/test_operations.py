@@ -164,6 +164,48 @@ def test_stream_pairs_nobody_with_itself(spark, tmp_path):
     assert [(r.vehicle_id_a, r.trip_id_a, r.vehicle_id_b, r.deviation_a, r.route_short_name) for r in found] == [("a", "t1", "b", 5, "R1")]
 
 
+def test_rows_behind_the_watermark_are_dropped_and_counted(spark, tmp_path):
+    """A row 300 s behind still counts, one far behind is dropped, and the stream says so."""
+    from headway.plans.queries_more import streamed
+
+    at = [(0, 10_000), (1, 9_700), (1, 10_050), (2, 5_000), (3, 20_000)]
+    p = spark.createDataFrame([(i, "v", s, "1", 0) for i, s in at], "arrival int, vehicle_id string, position_s long, route_id string, direction_id int").withColumn("position_timestamp", F.timestamp_seconds("position_s"))
+    q = jobs.tumbling_counts(streamed(spark, p, 4, "arrival"), Bunching()).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).outputMode("append").start()
+    q.awaitTermination()
+    assert sum(o["numRowsDroppedByWatermark"] for b in q.recentProgress for o in b["stateOperators"]) == 1
+    assert sorted((r.window_end, r.positions) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(9_720, 1), (10_020, 1), (10_080, 1)]
+
+
+def test_state_expires(spark, tmp_path):
+    """The last value of a key is forgotten after its time to live, so the same value passes again."""
+    import time
+
+    rows = lambda i: spark.createDataFrame([("k", i, i, "x")], "key string, id long, at long, value string")
+    jobs.use_rocksdb(spark)
+    rows(0).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("key string, id long, at long, value string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    q = jobs.value_dedupe(stream, ttl_s=20).writeStream.format("memory").queryName("expiring").outputMode("append").option("checkpointLocation", f"{tmp_path}/c").trigger(processingTime="1 second").start()
+    try:
+        until = lambda n: next((True for _ in range(90) if spark.sql("select * from expiring").count() >= n or time.sleep(1)), False)
+        assert until(1)
+        rows(1).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(30)  # past its time to live, and past the batch of the repeated value
+        rows(2).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        assert until(2)
+        assert [r.id for r in spark.sql("select id from expiring order by id").collect()] in ([0, 2], [0, 1])  # the repeat itself may come late on a slow machine
+    finally:
+        q.stop()
+
+
+def test_fixture_comes_back(spark, tmp_path):
+    df = spark.createDataFrame([(2, "b", None, dt.date(2026, 9, 2)), (1, "a", 0.5, dt.date(2026, 9, 1))], "n int, s string, x double, d date")
+    sinks.fixture_csv(df, f"{tmp_path}/f", ["n"])
+    assert [tuple(r) for r in sinks.read_fixture(spark, f"{tmp_path}/f").collect()] == [(1, "a", 0.5, dt.date(2026, 9, 1)), (2, "b", None, dt.date(2026, 9, 2))]
+    store.put(spark, f"{tmp_path}/f.manifest.json", store.get(spark, f"{tmp_path}/f.manifest.json").replace(b'"rows": 2', b'"rows": 3'))
+    with pytest.raises(ValueError):
+        sinks.read_fixture(spark, f"{tmp_path}/f")
+
+
 def test_package_ships_whole():
     with zipfile.ZipFile(io.BytesIO(ship.packed())) as z:
         assert "headway/operators/detect.py" in z.namelist() and ship.packed() == ship.packed()
