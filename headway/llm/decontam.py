@@ -7,8 +7,10 @@ gives the places that match, checked word by word; the longest match whose words
 and is marked, what is left of overlapping ones is tried again, until no match of MIN_MATCH words remains. An item's coverage
 is the share of its words under tiles, so passages in another order count in full.
 
-The benchmark goes to the executors in blocks of at most BLOCK_CHARS characters (and one item), one pass over the documents
-for each; a usual benchmark is one block. Documents are never shuffled, so no group of copies meets in one task.
+A benchmark of up to BLOCK_CHARS characters goes to the executors, and its seeds are joined there, so documents are never
+shuffled and no group of copies meets in one task. Beyond that size nothing of it is broadcast but a filter of its seeds, of
+FILTER_BITS at most: the documents' runs that pass are joined to the seeds, and each pair of a document and an item that
+share one is tiled from their texts. Both ways give the same rows.
 
 Defined cases: null and empty texts match nothing; an item under MIN_MATCH words is a seed and a tile as a whole, so it counts
 where all its words stand in a row, and only there; items without words match nothing; equal items each get their rows; repeated rows come back repeated; empty tables give no rows. Other columns are ignored.
@@ -24,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import TextSizes, slices
+from headway.llm.common import TextSizes, shared_join, slices, written
 
 MIN_MATCH = 5
 THRESHOLD = 0.5
 BLOCK_CHARS = 8_000_000
+FILTER_BITS = 1 << 26
 WORD = re.compile(r"[^\W_]+")
 RADIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -211,42 +214,113 @@ class Benchmark:
 TILES = "array<struct<item_word: int, doc_word: int, words: int>>"
 
 
-def _blocks(benchmark: DataFrame, block_chars: int):
-    """The items, broadcast in blocks of bounded size."""
-    share, part, size = benchmark.sparkSession.sparkContext.broadcast, [], 0
-    for r in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
-        if part and size + len(r[1] or "") > block_chars:
-            yield share(part)
-            part, size = [], 0
-        part.append((r[0], r[1]))
-        size += len(r[1] or "")
-    yield share(part)
+def _shared(benchmark: DataFrame, block_chars: int):
+    """The items, broadcast; None if they are too large for that."""
+    size = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
+    if size > block_chars:
+        return None
+    return benchmark.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in benchmark.select(F.col("item_id").cast("long"), "text").collect()])
+
+
+def seeds_of(text: str | None, m: int, lengths: frozenset = frozenset()) -> np.ndarray:
+    """Hashes of the different runs of m words and of the shorter lengths; of a text under m words, of lengths, its own only."""
+    import xxhash
+
+    words = WORD.findall((text or "").lower())
+    ids = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    runs = [rolling(ids, n) ^ np.uint64(n) for n in (lengths | {m} if lengths else {m if len(ids) >= m else max(1, len(ids))})]
+    return np.unique(np.concatenate(runs))
+
+
+def _seeded(rows: DataFrame, m: int, lengths: frozenset = frozenset(), passing=None) -> DataFrame:
+    """rows with a column text gain seeds: the different seeds of a text, of which passing says which to keep; rows without one go."""
+    names = rows.columns
+    at = names.index("text")
+
+    def run(batches):
+        for batch in batches:
+            for i, j in slices(TextSizes(batch.column(at)), 2_000_000):
+                part = batch.slice(i, j - i)
+                found = [seeds_of(t, m, lengths) for t in part.column(at).to_pylist()]
+                if passing is not None:
+                    found = [f[(passing.value[(f & np.uint64(8 * len(passing.value) - 1)) >> np.uint64(3)] >> (f & np.uint64(7)).astype(np.uint8)) & 1 == 1] for f in found]
+                keep = pa.array([len(f) > 0 for f in found], pa.bool_())
+                seeds = pa.array([f.view(np.int64) for f in found if len(f)], pa.list_(pa.int64()))
+                kept = part.filter(keep)
+                yield pa.record_batch([*kept.columns, seeds], names=[*names, "seeds"])
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
+    return rows.mapInArrow(run, f"{schema}, seeds array<long>")
+
+
+def _word_counts(items: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([len(WORD.findall((t or "").lower())) for t in batch.column(0).to_pylist()], pa.int64())], names=["n"])
+
+    return items.select("text").mapInArrow(run, "n long")
+
+
+def _joined(documents: DataFrame, benchmark: DataFrame, m: int) -> DataFrame:
+    """The overlaps by a join of seeds."""
+    spark, kind = documents.sparkSession, dict(documents.dtypes)["doc_id"]
+    items = written(benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("long").alias("item_id"), "text"))
+    seeds = written(_seeded(items, m).select("item", F.explode("seeds").alias("seed")))
+    lengths = frozenset(r[0] for r in _word_counts(items).filter(F.col("n").between(1, m - 1)).distinct().collect())  # fewer than m
+    count = seeds.count()
+    bits = min(FILTER_BITS, 1 << max(12, (16 * count).bit_length()))
+    cell = F.col("seed").bitwiseAND(F.lit(bits - 1))
+    bit = F.call_function("shiftleft", F.lit(1), cell.bitwiseAND(F.lit(7)).cast("int"))
+    filled = np.zeros(bits // 8, np.uint8)
+    for r in seeds.groupBy(F.shiftright(cell, 3).alias("byte")).agg(F.bit_or(bit).alias("bits")).toLocalIterator():  # bits / 8 rows at most
+        filled[r["byte"]] = r["bits"]
+    passing = spark.sparkContext.broadcast(filled)  # FILTER_BITS / 8 bytes at most
+    hits = written(_seeded(documents.select("doc_id", "text"), m, lengths | {m}, passing).withColumn("place", F.monotonically_increasing_id()))
+    asked = hits.select("place", F.explode("seeds").alias("seed"))
+    met = shared_join(asked, seeds.groupBy("seed").agg(F.collect_list("item").alias("items")), "seed")
+    pairs = written(met.select("place", F.explode("items").alias("item")).distinct())
+    sided = shared_join(pairs, items.withColumnRenamed("text", "item_text"), "item").select("place", "item_id", "item_text")
+    both = shared_join(sided, hits.select("place", "doc_id", "text"), "place").sortWithinPartitions("place")
+
+    def run(batches):
+        for batch in batches:
+            ids, rows = batch.column("doc_id"), []
+            for d, i, item, text in zip(range(batch.num_rows), *(batch.column(c) for c in ("item_id", "item_text", "text"))):
+                for _, n, matched, found in Benchmark([(i.as_py(), item.as_py())], m).matches(text.as_py()):
+                    rows.append((d, i.as_py(), n, matched, matched / n, [dict(zip(("item_word", "doc_word", "words"), t)) for t in found]))
+            yield _batch(ids.take(pa.array([r[0] for r in rows], pa.int64())), [list(c) for c in zip(*(r[1:] for r in rows))] or [[] for _ in range(5)])
+
+    return both.select("doc_id", "item_id", "item_text", "text").mapInArrow(run, f"doc_id {kind}, {OVERLAP}")
+
+
+OVERLAP = f"item_id long, item_words int, matched int, coverage double, tiles {TILES}"
+
+
+def _batch(ids: pa.Array, columns: list) -> pa.RecordBatch:
+    tiles_type = pa.list_(pa.struct([("item_word", pa.int32()), ("doc_word", pa.int32()), ("words", pa.int32())]))
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.float64(), tiles_type)
+    return pa.record_batch([ids, *(pa.array(c, t) for c, t in zip(columns, types))], names=["doc_id", "item_id", "item_words", "matched", "coverage", "tiles"])
 
 
 def overlaps(documents: DataFrame, benchmark: DataFrame, m: int = MIN_MATCH, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, item_words, matched, coverage, tiles of all documents and items that share a tile."""
-    kind = dict(documents.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, item_id long, item_words int, matched int, coverage double, tiles {TILES}"
-    arrow = pa.list_(pa.struct([("item_word", pa.int32()), ("doc_word", pa.int32()), ("words", pa.int32())]))
-    out = None
-    for shared in _blocks(benchmark, block_chars):
-
-        def run(batches, shared=shared):
-            known = Benchmark(shared.value, m)
-            for batch in batches:
-                rows: list = [[] for _ in range(6)]
-                ids, texts = batch.column(0), batch.column(1)
-                for i, j in slices(TextSizes(texts), 2_000_000):
-                    for d, text in zip(ids.slice(i, j - i).to_pylist(), texts.slice(i, j - i).to_pylist()):
-                        for item, n, matched, found in known.matches(text):
-                            for column, v in zip(rows, (d, item, n, matched, matched / n, [dict(zip(("item_word", "doc_word", "words"), t)) for t in found])):
-                                column.append(v)
-                types = (ids.type, pa.int64(), pa.int32(), pa.int32(), pa.float64(), arrow)
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, types)], names=["doc_id", "item_id", "item_words", "matched", "coverage", "tiles"])
-
-        part = documents.select("doc_id", "text").mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+    shared, kind = _shared(benchmark, block_chars), dict(documents.dtypes)["doc_id"]
+    if shared is None:
+        return _joined(documents, benchmark, m)
+
+    def run(batches):
+        known = Benchmark(shared.value, m)
+        for batch in batches:
+            rows: list = [[] for _ in range(6)]
+            texts = batch.column(1)
+            for i, j in slices(TextSizes(texts), 2_000_000):
+                for d, text in zip(range(i, j), texts.slice(i, j - i).to_pylist()):
+                    for item, n, matched, found in known.matches(text):
+                        for column, v in zip(rows, (d, item, n, matched, matched / n, [dict(zip(("item_word", "doc_word", "words"), t)) for t in found])):
+                            column.append(v)
+            yield _batch(batch.column(0).take(pa.array(rows[0], pa.int64())), rows[1:])
+
+    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {OVERLAP}")
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -256,17 +330,21 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float =
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, m: int = MIN_MATCH, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of documents that cover the threshold of no item, with all their columns."""
-    at = documents.columns.index("text")
-    kept = documents
-    for shared in _blocks(benchmark, block_chars):
-
-        def run(batches, shared=shared):
-            known = Benchmark(shared.value, m)
-            clean = lambda text: all(matched < threshold * n for _, n, matched, _ in known.matches(text))
-            for batch in batches:
-                for i, j in slices(TextSizes(batch.column(at)), 2_000_000):
-                    part = batch.slice(i, j - i)
-                    yield part.filter(pa.array([clean(t) for t in part.column(at).to_pylist()], pa.bool_()))
-
-        kept = kept.mapInArrow(run, documents.schema)
-    return kept
+    at, shared = documents.columns.index("text"), _shared(benchmark, block_chars)
+    if shared is None:  # texts by a hash: what holds for a text holds for all its copies
+        keys = documents.select(F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")).alias("doc_id"), "text")
+        different = keys.groupBy("doc_id").agg(F.any_value("text").alias("text"))
+        dirty = _joined(different, benchmark, m).filter(F.col("coverage") >= threshold).select("doc_id").distinct()
+        judged = written(different.select("doc_id").join(dirty.withColumn("dirty", F.lit(True)), "doc_id", "left").filter("dirty is null").select("doc_id"))
+        packed = documents.select(F.struct("*").alias("row"), F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")).alias("doc_id"))
+        return shared_join(packed, judged, "doc_id").select("row.*")
+
+    def run(batches):
+        known = Benchmark(shared.value, m)
+        clean = lambda text: all(matched < threshold * n for _, n, matched, _ in known.matches(text))
+        for batch in batches:
+            for i, j in slices(TextSizes(batch.column(at)), 2_000_000):
+                part = batch.slice(i, j - i)
+                yield part.filter(pa.array([clean(t) for t in part.column(at).to_pylist()], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

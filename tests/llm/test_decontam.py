@@ -67,7 +67,12 @@ def test_coverage_and_keep_clean_against_brute_force(spark, documents):
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     want = {(i, k): c for i, t in rows for k, item in enumerate(items) if (c := brute_coverage(item, t)) > 0}
     assert {(r.doc_id, r.item_id): r.coverage for r in decontam.overlaps(documents(rows), bench).collect()} == want
+    joined = decontam.overlaps(documents(rows), bench, block_chars=1)
+    assert {(r.doc_id, r.item_id): r.coverage for r in joined.collect()} == want
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, decontam.overlaps(documents(rows), bench).collect()))
     dirty = {i for (i, _), c in want.items() if c >= 0.5}
+    twice = documents(rows + rows[:9] + [(99, None)])
+    assert sorted(r.doc_id for r in decontam.keep_clean(twice, bench, block_chars=1).collect()) == sorted(r.doc_id for r in decontam.keep_clean(twice, bench).collect())
     assert {r.doc_id for r in decontam.keep_clean(documents(rows), bench).collect()} == set(range(40)) - dirty and 0 < len(dirty) < 40
 
 
@@ -94,5 +99,6 @@ def test_documents(spark, documents):
     assert sorted((r.doc_id, r.item_id, r.coverage, r.tiles[0].doc_word) for r in decontam.contaminated(texts, tiny).collect()) == [
         (1, 1, 1.0, 2), (1, 2, 1.0, 3), (1, 3, 1.0, 3), (2, 2, 1.0, 0), (2, 3, 1.0, 0), (4, 1, 1.0, 0), (4, 2, 1.0, 1), (4, 3, 1.0, 1)]
     assert [r.doc_id for r in decontam.keep_clean(texts, tiny).collect()] == [3]
+    assert sorted(map(repr, decontam.overlaps(texts, tiny, block_chars=1).collect())) == sorted(map(repr, decontam.overlaps(texts, tiny).collect()))
     assert decontam.overlaps(documents([]), bench).count() == 0
     assert decontam.overlaps(documents(rows), bench.limit(0)).count() == 0
