@@ -1,7 +1,7 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Fingerprints are dealt into tiles by the population counts of their parts (four quarters of 16 bits, or the whole where the
-radius is wide). Two fingerprints within the radius have counts that differ by no more than the radius in all, so only such
+Fingerprints are dealt into tiles by the population counts of their parts: four quarters of 16 bits, or, where the radius is
+wide, the whole in steps of more than the radius, and the size of the text's set. Two fingerprints within the radius have counts that differ by no more than the radius in all, so only such
 tiles are paired; within a pair of tiles every pair is compared, by numpy exclusive-or and bit counts. Tiles are cut into
 chunks, so a pair of chunks has bounded memory however large a tile grows. Equal fingerprints are one from the start.
 
@@ -21,6 +21,7 @@ ignored by near_duplicates and carried by keep_first.
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -122,32 +123,45 @@ def tile_links(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[n
 
 
 def _part(fp: Column, p: int, width: int) -> Column:
-    return F.bit_count(F.shiftrightunsigned(fp, width * p).bitwiseAND(F.lit((1 << width) - 1))) if width < 64 else F.bit_count(fp)
+    return F.bit_count(F.shiftrightunsigned(fp, width * p).bitwiseAND(F.lit((1 << width) - 1)))
 
 
-def _tile_pairs(prints: DataFrame, radius: int, chunk: int) -> DataFrame:
+def _digits(radius: int, sized: bool, similarity: float) -> list[tuple[Column, int, int]]:
+    """What a tile is: (value, how many values, by how much two fingerprints within the radius can differ in it).
+
+    A narrow radius takes the population counts of four quarters; a wide one that of the whole in steps of over the radius,
+    and, where rows have a size, the sizes in steps of over the ratio that the similarity allows.
+    """
+    if radius <= 3:
+        return [(_part(F.col("fp"), p, 16), 17, radius) for p in range(4)]
+    out = [(F.floor(F.bit_count("fp") / (radius + 1)).cast("int"), 64 // (radius + 1) + 1, 1)]
+    if sized:
+        step = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / F.log(F.lit(1.0001 / similarity)))
+        out.append((F.least(step, F.lit(254)).cast("int"), 255, 1))
+    return out
+
+
+def _tile_pairs(prints: DataFrame, radius: int, chunk: int, similarity: float = SIMILARITY) -> DataFrame:
     """(fp, other columns) -> same, a, b: each pair of chunks whose tiles may hold fingerprints within the radius.
 
     a and b are structs of lists, one for each column. Chunks hold about chunk rows each.
     """
-    parts = 4 if radius <= 3 else 1
-    width = 64 // parts
-    base = width + 1  # counts of a part: 0 to width
-    columns = prints.columns
-    tiled = prints.withColumn("tile", sum(_part(F.col("fp"), p, width) * base**p for p in range(parts)))
-    # at most base ** parts rows: 83,521
+    columns, narrow = prints.columns, radius <= 3
+    digits = _digits(radius, "size" in columns, similarity)
+    place = [math.prod(n for _, n, _ in digits[:k]) for k in range(len(digits))]
+    tiled = prints.withColumn("tile", sum(value * p for (value, _, _), p in zip(digits, place)).cast("long"))
+    # as many rows as there are tiles at most: 83,521
     sizes = tiled.groupBy("tile").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
     dealt = tiled.join(F.broadcast(sizes), "tile").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     packed = checkpointed(dealt.groupBy("tile", "chunk").agg(F.collect_list(F.struct(*columns)).alias("rows")).select("tile", "chunk", F.struct(*[F.col(f"rows.{c}").alias(c) for c in columns]).alias("b")))
-    steps = [d for d in itertools.product(range(-radius, radius + 1), repeat=parts) if sum(map(abs, d)) <= radius]
-    digit = lambda p: F.floor(F.col("tile") / base**p) % base
+    steps = [d for d in itertools.product(*[range(-reach, reach + 1) for _, _, reach in digits]) if not narrow or sum(map(abs, d)) <= radius]
     near = []
     for d in steps:
-        offset = sum(x * base**p for p, x in enumerate(d))
-        if offset >= 0:  # each pair of tiles from its smaller one
+        offset = sum(x * p for x, p in zip(d, place))
+        if offset > 0 or not any(d):  # each pair of tiles from its smaller one
             fits = F.lit(True)
-            for p, x in enumerate(d):
-                fits = fits & (digit(p) + x).between(0, base - 1) if x else fits
+            for x, p, (_, n, _) in zip(d, place, digits):
+                fits = fits & (F.floor(F.col("tile") / p) % n + x).between(0, n - 1) if x else fits
             near.append(F.when(fits, F.col("tile") + offset))
     other = sizes.select(F.col("tile").alias("to_tile"), F.col("chunks").alias("to_chunks"))
     probes = packed.select("tile", "chunk", F.col("b").alias("a"), F.explode(F.array_compact(F.array(*near))).alias("to_tile")).join(F.broadcast(other), "to_tile")
