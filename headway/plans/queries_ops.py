@@ -18,7 +18,7 @@ from headway.plans.queries_core import health, numbers, seconds
 from headway.plans.queries_joins import live_and_replay
 from headway.plans.queries_more import _part, folder, payloads, streamed
 from headway.plans.queries_report import RUNS_SQL, two_runs
-from headway.sources import archive, enriched, realtime, sinks, store, streams
+from headway.sources import archive, enriched, realtime, sinks, store, streams, versions
 from headway.streaming import jobs
 
 query = Registry()
@@ -101,6 +101,46 @@ def schedule_deviation(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", late.alias("late_s"))
 
 
+@query("schedule_zip", "SELECT 'routes' AS name, count(*) AS n FROM nation UNION ALL SELECT 'trips', count(*) FROM supplier UNION ALL SELECT 'stops', count(*) FROM region UNION ALL SELECT 'stop_times', count(*) FROM nation UNION ALL SELECT 'shapes', count(*) FROM nation UNION ALL SELECT 'feed_info', 1")
+def schedule_zip(spark, sf_dir):
+    """Small tables as the members of a schedule's zip, loaded twice as one version; what its manifest counts."""
+    import io
+    import zipfile
+
+    column = lambda name, key: [r[0] for r in table(spark, sf_dir, name).select(key).collect()]  # noqa: E731  a few hundred rows
+    nations, out = column("nation", "n_nationkey"), io.BytesIO()
+    members = {
+        "routes": ["route_id,route_short_name", *(f"r{k},{k}" for k in nations)], "trips": ["trip_id,route_id", *(f"t{k},r1" for k in column("supplier", "s_suppkey"))], "stops": ["stop_id,stop_lat,stop_lon", *(f"s{k},47.6,-122.3" for k in column("region", "r_regionkey"))],
+        "stop_times": ["trip_id,stop_id,stop_sequence,arrival_time", *(f"t1,s1,{k},25:00:00" for k in nations)], "shapes": ["shape_id,shape_pt_sequence,shape_pt_lat,shape_pt_lon", *(f"x,{k},47.6,-122.3" for k in nations)], "feed_info": ["feed_version", "v1"],
+    }
+    with zipfile.ZipFile(out, "w") as z:
+        for name, lines in members.items():
+            z.writestr(f"{name}.txt", "\n".join(lines) + "\n")
+    path = folder(spark)
+    store.put(spark, f"{path}/feed.zip", out.getvalue())
+    for _ in range(2):
+        versions.load(spark, f"{path}/feed.zip", f"{path}/static", "etag")
+    return versions.manifest(spark, f"{path}/static").filter("ready").select(F.explode("row_counts").alias("name", "n"))
+
+
+@query("neighborhood_file", "SELECT CAST(r_regionkey AS INTEGER) AS neigh_num, r_name AS neighborhood_name, CAST(r_regionkey AS DOUBLE) AS least_lon, CAST(1 + r_regionkey % 2 AS BIGINT) AS polygons FROM region")
+def neighborhood_file(spark, sf_dir):
+    """Regions as GeoJSON squares, every other one of two polygons."""
+    import json
+
+    from headway.sources import static
+
+    square = lambda k: [[[k, 0.0], [k + 1, 0.0], [k + 1, 1.0], [k, 0.0]]]
+    rows = [(r[0], r[1]) for r in table(spark, sf_dir, "region").select("r_regionkey", "r_name").collect()]
+    shape = lambda k: {"type": "MultiPolygon", "coordinates": [square(float(k)), square(k + 9.0)]} if k % 2 else {"type": "Polygon", "coordinates": square(float(k))}
+    features = [{"properties": {"neigh_num": k, "neighborhood_name": n}, "geometry": shape(k)} for k, n in rows]
+    path = f"{folder(spark)}/hoods.json"
+    store.put(spark, path, json.dumps({"features": features}).encode())
+    found = static.read_neighborhoods(spark, path, len(rows))
+    least = F.array_min(F.transform(F.get(F.get("polygons", F.lit(0)), F.lit(0)), lambda c: c["lon"]))
+    return found.select("neigh_num", "neighborhood_name", least.alias("least_lon"), F.size("polygons").cast("long").alias("polygons"))
+
+
 # --- feeds ---
 
 
@@ -289,6 +329,22 @@ def export_hours(spark, sf_dir):
     return spark.createDataFrame([(k, h, float(v)) for k, row in found.items() for h, v in enumerate(row)], "kind string, local_hour int, per_day double")
 
 
+@query(
+    "export_kpis",
+    f"""WITH {roles.ALERTS_SQL}, {roles.HEALTH_SQL.replace(roles.POSITIONS + ',', '')}, a AS (SELECT count(*) AS n, count(*) FILTER (local_hour IN (16, 17, 18)) AS p FROM alerts),
+l AS (SELECT * FROM health WHERE CAST(timezone('America/Los_Angeles', timezone('UTC', minute)) AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-31')
+SELECT 31 AS days, a.n AS alerts, round(a.n / 31.0, 1) AS alerts_per_day, round(CAST(a.p AS DOUBLE) / a.n, 3) AS pm_peak_share, (SELECT round(CAST(count(*) FILTER (NOT is_silent) AS DOUBLE) / count(*), 3) FROM l) AS live_share, (SELECT CAST(sum(positions) AS BIGINT) FROM l) AS positions FROM a""",
+)
+def export_kpis(spark, sf_dir):
+    """The headline figures of the month that the driver's events fill."""
+    first, last = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
+    alerts = roles.alerts(spark, sf_dir).withColumns({"latitude": F.lit(47.6), "longitude": F.lit(-122.3)})
+    days = exports.health_days(exports.between(marts.health_mart(health(spark, sf_dir)), "minute_local", first, last))
+    k = exports.kpis(exports.between(alerts, "local_date", first, last), days, [], first, last)
+    names = ("days", "alerts", "alerts_per_day", "pm_peak_share", "live_share", "positions")
+    return spark.createDataFrame([tuple(k[n] for n in names)], "days int, alerts long, alerts_per_day double, pm_peak_share double, live_share double, positions long")
+
+
 @query(
     "export_health_days",
     f"""WITH {roles.HEALTH_SQL}, l AS (SELECT *, timezone('America/Los_Angeles', timezone('UTC', minute)) AS wall FROM health)
