@@ -4,7 +4,8 @@ A window is WINDOW consecutive words of one text; a window is repeated if its wo
 that enter the trees are those at anchors: in each window, the place of the least hash of GRAM words. Equal windows have
 equal anchors at equal offsets, so anchors are all that need to be compared, and an anchor whose gram occurs once is dropped
 before any text moves. The suffixes that are left are partitioned by a prefix of variable length: their first GRAM words,
-or, where more than HOT suffixes share those, the whole window. A task builds the subtrees of its prefixes in memory-sized
+or, where more than HOT suffixes share those, some 21 words around them, and, of suffixes that share these too, the whole
+window. A task builds the subtrees of its prefixes in memory-sized
 lots: it sorts the suffixes, finds common prefix lengths of neighbours, and reads the internal nodes off as intervals. A node
 of depth d together with the o words that its suffixes share to the left is a repeat of d + o words; nodes with d + o of at
 least WINDOW give the repeated windows. Of a hot prefix, equal windows are one node, and nodes are counted with a map-side
@@ -31,7 +32,7 @@ from headway.llm.words import WordTable
 WINDOW = 35
 GRAM = 8
 #: Suffixes of one prefix that a task holds in memory at most, and suffixes of one lot.
-HOT = 200_000
+HOT = 50_000
 LOT = 40_000
 #: A mask has a bit for each offset of a window's start before its anchor.
 MASK = 62
@@ -218,8 +219,42 @@ def _subtrees(contexts: DataFrame, window: int, gram: int) -> DataFrame:
     return sorted_contexts.mapInArrow(run, "h1 long, h2 long, pos int, mask long")
 
 
+def _company(candidates: DataFrame, window: int, gram: int) -> DataFrame:
+    """h1, h2, found: of anchors of hot grams those that share a longer run, (pos, side), by text.
+
+    A window that starts up to half of reach before an anchor holds the words from the anchor on to the window's length less
+    that half (side 0); one that starts further before holds the words from half + 1 before the anchor to the gram's end (side
+    1). If no other anchor has the same run, none of these windows is repeated.
+    """
+    half = (window - gram) // 2
+
+    def run(batches):
+        import xxhash
+
+        h = xxhash.xxh64_intdigest
+        for batch in batches:
+            raw, found = batch.column(2).cast(pa.binary()), batch.column(3)
+            for i, j in slices(TextSizes(raw), 1_000_000):
+                rows: list = [[] for _ in range(4)]
+                for r in range(i, j):
+                    words = raw[r].as_py().split()
+                    for p in found[r].as_py():
+                        for side, a, b in ((0, p, p + window - half), (1, p - half - 1, p + gram)):
+                            if a >= 0 and b <= len(words) and (side == 0 or window > gram):
+                                for column, v in zip(rows, (r, p, side, h(b" ".join(words[a:b]), side))):
+                                    column.append(v)
+                take = pa.array(rows[0], pa.int64())
+                keys = pa.array(np.array(rows[3], np.uint64).view(np.int64))
+                yield pa.record_batch([batch.column(0).take(take), batch.column(1).take(take), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.int8()), keys], names=["h1", "h2", "pos", "side", "run"])
+
+    runs = written(candidates.mapInArrow(run, "h1 long, h2 long, pos int, side byte, run long"))
+    shared = written(runs.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1"))
+    return hot_join(runs, shared, "run").groupBy("h1", "h2").agg(F.collect_set(F.struct("pos", "side")).alias("found"))
+
+
 def _hot_windows(candidates: DataFrame, window: int, gram: int) -> DataFrame:
-    """Masks for anchors of hot grams: windows partitioned by all their words."""
+    """Masks for anchors of hot grams, found as _company says: windows partitioned by all their words."""
+    half = (window - gram) // 2
 
     def run(batches):
         import xxhash
@@ -227,11 +262,13 @@ def _hot_windows(candidates: DataFrame, window: int, gram: int) -> DataFrame:
         for batch in batches:
             raw, found = batch.column(2).cast(pa.binary()), batch.column(3)
             for r in range(batch.num_rows):
-                words = raw[r].as_py().split()
-                starts = sorted({s for p in found[r].as_py() for s in range(max(0, p - window + gram), min(p, len(words) - window) + 1)})
-                digests = [xxhash.xxh3_128_digest(b" ".join(words[s : s + window])) for s in starts]
+                words, starts = raw[r].as_py().split(), set()
+                for f in found[r].as_py():
+                    first, last = (f["pos"] - half, f["pos"]) if f["side"] == 0 else (f["pos"] - window + gram, f["pos"] - half - 1)
+                    starts.update(range(max(0, first), min(last, len(words) - window) + 1))
+                digests = [xxhash.xxh3_128_digest(b" ".join(words[s : s + window])) for s in sorted(starts)]
                 h1, h2 = batch.column(0)[r].as_py(), batch.column(1)[r].as_py()
-                yield pa.record_batch([pa.array([h1] * len(starts), pa.int64()), pa.array([h2] * len(starts), pa.int64()), pa.array(starts, pa.int32()), pa.array(digests, pa.binary())], names=["h1", "h2", "pos", "node"])
+                yield pa.record_batch([pa.array([h1] * len(starts), pa.int64()), pa.array([h2] * len(starts), pa.int64()), pa.array(sorted(starts), pa.int32()), pa.array(digests, pa.binary())], names=["h1", "h2", "pos", "node"])
 
     windows = candidates.mapInArrow(run, "h1 long, h2 long, pos int, node binary")
     nodes = written(windows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"))
@@ -283,7 +320,8 @@ def _cleaned(keyed: DataFrame, window: int, gram: int, hot: int, verbatim: bool
 
     masks = _subtrees(_contexts(with_text(False), window, gram), window, gram)
     if candidates.filter("hot").limit(1).count():
-        masks = masks.unionByName(_hot_windows(with_text(True), window, gram))
+        company = written(_company(with_text(True), window, gram))
+        masks = masks.unionByName(_hot_windows(texts.join(company, ["h1", "h2"]).select("h1", "h2", "text", "found"), window, gram))
     marks = masks.groupBy("h1", "h2").agg(F.collect_list(F.struct("pos", "mask")).alias("found"))
     marked = texts.join(marks, ["h1", "h2"], "left").select("h1", "h2", "text", "copies", "found")
     return _cut(marked, window, verbatim)
