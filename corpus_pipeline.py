@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import bpe, decontam, simhash, substring, toxicity
-from headway.llm.common import read_table, written
+from headway.llm.common import forget, read_table, written
 from headway.llm.queries import tokenizer_spec
 
 
@@ -46,7 +46,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            forget(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
