@@ -357,8 +357,11 @@ def keep_first(documents: DataFrame, similarity: float = SIMILARITY, k: int = K,
     """One document of each group of texts linked by the similarity, with all its columns.
 
     The row of the least doc_id stays, then of the least hash, and one with a null doc_id only where a group has no other.
-    Rows that repeat id and text are one row; rows that repeat an id with different texts are different documents.
+    Rows that repeat id and text are one row; rows that repeat an id with different texts are different documents. The radius
+    is set for similarities of SIMILARITY or more; a lesser one is an error.
     """
+    if similarity < SIMILARITY:
+        raise ValueError(f"a similarity of {SIMILARITY} or more is needed")
     doc_id = F.col("doc_id").cast("long")
     packed = F.struct("*").alias("row")  # so that no column's name can clash
     keyed = documents.select(packed, doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("h1"), F.xxhash64("text", doc_id, F.lit(1)).alias("h2"))
